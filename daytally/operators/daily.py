@@ -104,18 +104,15 @@ def join_daily(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.join(b, DAY), frames)
 
 
-def daily_totals(cube: DataFrame, type_col: str, location_col: str) -> DataFrame:
-    """``(date, Total Crimes)`` for the days of the wide table.
+def daily_totals(incidents: DataFrame, ts: str, type_col: str, location_col: str) -> DataFrame:
+    """``(date, Total Crimes)`` for the days of the wide table, without the cube.
 
-    Rows without a type do not count; a day needs a type and a location.
+    Incidents without a type do not count; a day needs a type and a location.
     """
-    n = F.col(COUNT)
-    sums = cube.groupBy(DAY).agg(
-        F.sum(F.when(qcol(type_col).isNotNull(), n)).alias(TOTAL),
-        F.sum(F.when(qcol(location_col).isNotNull(), n)).alias("_located"),
+    per_day = incidents.groupBy(truncate_to_day(qcol(ts)).alias(DAY)).agg(
+        F.count(qcol(type_col)).alias(TOTAL), F.count(qcol(location_col)).alias("_located")
     )
-    # A null sum means that no row of the day has the dimension.
-    return sums.filter(qcol(TOTAL).isNotNull() & F.col("_located").isNotNull()).drop("_located")
+    return per_day.filter((qcol(TOTAL) > 0) & (F.col("_located") > 0)).drop("_located")
 
 
 def daily_wide(cube: DataFrame, types: Buckets, locations: Buckets) -> DataFrame:

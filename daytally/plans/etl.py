@@ -37,6 +37,9 @@ def clean_incidents(spark: SparkSession, files: list[tuple[str, list[str]]], las
     used = [*INCIDENT_KEY, "Date", INCIDENT_TYPE, INCIDENT_LOCATION, "Year"]
     raw = read_period_files(spark, files).select([qcol(c) for c in [*used, *READ_ORDER]])
     raw = missing_to_null(raw, used)
+    # The same number written in two ways is one key.
+    number = F.col("ID").try_cast("bigint").cast("string")
+    raw = raw.withColumn("ID", F.coalesce(number, F.col("ID")))
     # File order, not time, decides which row is first, so the cutoff has to wait for the dedupe.
     first = dedupe_keep_first(raw, INCIDENT_KEY, READ_ORDER)
     typed = first.withColumn("Year", F.col("Year").try_cast("double"))

@@ -23,12 +23,12 @@ from daytally.operators.joins import join_by_day, one_per_day, overlay
 from daytally.operators.series import MEASURES, preview, select_groups, sort_by_day, unpivot, with_day_ordinal
 from daytally.queries.base_sql import ROUNDED, sql, wide
 from daytally.queries.registry import query, shown
+from daytally.scratch import materialize
 from daytally.sources.generated_tables import (
     LOCATION,
     TYPE,
     crime_totals,
     daily_obs,
-    incident_cube,
     kept_incidents,
     stored_cube,
     table,
@@ -54,14 +54,14 @@ group by 1
 """, "kept"))
 def topn_bucket_other(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty leading types, the rest as one bucket; one type is made null and stays null."""
-    cube = incident_cube(spark, sf_dir).withColumn(TYPE, F.nullif(F.col(TYPE), F.lit("Brand#13")))
+    cube = stored_cube(spark, sf_dir).withColumn(TYPE, F.nullif(F.col(TYPE), F.lit("Brand#13")))
     bucketed = bucket_topn(cube, TYPE, weight="n")
     return bucketed.groupBy(F.col(TYPE).alias("category")).agg(F.sum("n").alias("n"))
 
 
 @query("category_domain", sql("select distinct location as category from bucketed where location is not null", "bucketed"))
 def category_domain_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return category_domain(bucket_topn(incident_cube(spark, sf_dir), LOCATION, weight="n"), LOCATION)
+    return category_domain(bucket_topn(stored_cube(spark, sf_dir), LOCATION, weight="n"), LOCATION)
 
 
 _PIVOT = """(select cast(date as varchar) as date, {0} as category, cast(count(*) as bigint) as n
@@ -186,7 +186,8 @@ from totals
 """, "totals"))
 def sort_by_day_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days in order, with the position that makes the order checkable."""
-    return shown(sort_by_day(with_day_ordinal(crime_totals(spark, sf_dir), DAY), DAY))
+    totals = materialize(crime_totals(spark, sf_dir), "totals")
+    return shown(sort_by_day(with_day_ordinal(totals, DAY), DAY))
 
 
 @query("preview_limit", sql(f"""

@@ -59,6 +59,11 @@ def read_skip_long_rows(spark: SparkSession, paths, columns: list[str], multi_li
     return df.filter(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
 
 
+def header_columns(spark: SparkSession, path: str) -> list[str]:
+    """Column names of one file, in its order."""
+    return read_header_names(spark, path).columns
+
+
 def _tag_position(df: DataFrame, rank: int) -> DataFrame:
     """Add the file rank, the split's offset in its file and the row's place in the split.
 

@@ -39,10 +39,12 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    located = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     lines = table(spark, sf_dir, "lineitem")
-    joined = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
-        located, F.col("l_suppkey") == F.col("s_suppkey")
+    # One lookup table at a time: each has a known file size to choose its join by.
+    joined = (
+        lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     )
     return joined.select(
         F.col("l_orderkey").alias("id"),
@@ -114,7 +116,7 @@ def daily_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def crime_totals(spark: SparkSession, sf_dir: str, last_year: int = LAST_YEAR) -> DataFrame:
     """``(date, Total Crimes)``."""
-    return daily_totals(incident_cube(spark, sf_dir, last_year), TYPE, LOCATION)
+    return daily_totals(kept_incidents(spark, sf_dir, last_year), "ts", TYPE, LOCATION)
 
 
 def day_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
