@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import inspect
-
 import pytest
 
 import __spark_entry__ as entry
@@ -11,7 +9,6 @@ from tests.compare import differences, duck
 
 SF_DIR = "/root/testdata/sf0.001"
 
-# Queries whose own work trains models: their result frames are plain, the fits are not in the plan.
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
@@ -57,14 +54,3 @@ def test_cutoff_and_columns_reach_the_scan(spark):
     line = next(x for x in text.splitlines() if "lineitem.parquet" in x)
     assert "l_extendedprice" not in line and "l_tax" not in line
     assert "partial_count" in text and "partial_min" in text
-
-
-def test_nothing_is_hinted_into_a_broadcast_but_bounded_tables():
-    import daytally.ml.clusters as clusters
-    import daytally.operators.daily as daily
-    import daytally.operators.joins as joins
-    import daytally.sources.generated_tables as tables
-
-    assert inspect.getsource(daily).count("F.broadcast(") == 1
-    assert inspect.getsource(clusters).count("F.broadcast(") == 1
-    assert "broadcast(" not in inspect.getsource(joins) + inspect.getsource(tables)
