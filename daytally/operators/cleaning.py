@@ -68,13 +68,26 @@ def with_reject_reason(df: DataFrame, cells: list[str], key: str, overflow: str)
     return df.withColumn(REASON, reason)
 
 
-def quarantine(df: DataFrame, cells: list[str], key: str, overflow: str) -> tuple[DataFrame, DataFrame]:
-    """Split raw weather rows into cleaned good rows and rejected raw rows."""
+def clean_or_tag(df: DataFrame, cells: list[str], key: str, overflow: str) -> DataFrame:
+    """All rows in one pass: good rows cleaned, the others as they came, with their reason."""
     tagged = with_reject_reason(df, cells, key, overflow)
+    good = F.col(REASON).isNull()
+    return tagged.withColumns({c: F.when(good, trace_to_zero(blank_to_null(qcol(c)))).otherwise(qcol(c)) for c in cells})
+
+
+def quarantine(df: DataFrame, cells: list[str], key: str, overflow: str) -> tuple[DataFrame, DataFrame]:
+    """Split raw weather rows into cleaned good rows and rejected raw rows.
+
+    Using both parts reads the input twice; where it is large, store
+    ``clean_or_tag`` first and split the stored table with ``split_tagged``.
+    """
+    return split_tagged(clean_or_tag(df, cells, key, overflow), overflow)
+
+
+def split_tagged(tagged: DataFrame, overflow: str) -> tuple[DataFrame, DataFrame]:
+    """Good rows without the helper columns, and the rejected rows."""
     good = tagged.filter(F.col(REASON).isNull()).drop(REASON, overflow)
-    good = traces_to_zero(blanks_to_null(good, cells), cells)
-    rejects = tagged.filter(F.col(REASON).isNotNull())
-    return good, rejects
+    return good, tagged.filter(F.col(REASON).isNotNull())
 
 
 def cast_record_types(df: DataFrame, types: dict[str, str], bad: str = "bad_cells") -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daytally.functions.days import format_long_day
 from daytally.functions.text import decode_slug_text
 from daytally.ml import clusters, features, regressors
 from daytally.operators.daily import DAY, TOTAL
@@ -59,7 +60,8 @@ def past_weather(docs: DataFrame, doc: str, day: str, asof: Column, days: int =
 
 def forecast(docs: DataFrame, doc: str, asof: Column, days: int = 5) -> DataFrame:
     """The next days from a forecast document, ``asof`` included."""
-    return forecast_days(docs, doc, asof, days)
+    rows = forecast_days(docs, doc, asof, days)
+    return rows.withColumn("Date", format_long_day(F.col("day"))).drop("day")
 
 
 def temperature_and_total(weather: DataFrame, wide: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daytally.functions.days import format_day_key, normalize_day_key, parse_day_key, parse_ts_12h
 from daytally.names import qcol
-from daytally.operators.cleaning import cast_record_types, filter_year_upto, quarantine
+from daytally.operators.cleaning import cast_record_types, clean_or_tag, filter_year_upto, split_tagged
 from daytally.operators.daily import DAY, LEADING, Buckets, daily_long, daily_wide, day_cube
 from daytally.operators.dedupe import dedupe_keep_first
 from daytally.operators.series import MEASURES
@@ -69,10 +69,12 @@ def keyed_records(wide: DataFrame) -> DataFrame:
 def clean_weather(spark: SparkSession, paths, cells: list[str] = WEATHER_CELLS) -> tuple[DataFrame, DataFrame]:
     """Typed good days and raw rejects of the weather files.
 
-    ``cells`` names the file's columns in order.
+    ``cells`` names the file's columns in order.  The files are read once: both
+    results come from a stored table of all rows.
     """
     raw = read_with_overflow(spark, paths, cells)
-    good, rejects = quarantine(raw, cells, "Date", OVERFLOW)
+    tagged = materialize(clean_or_tag(raw, cells, "Date", OVERFLOW), "weather")
+    good, rejects = split_tagged(tagged, OVERFLOW)
     typed = cast_record_types(good, {m: "double" for m in MEASURES})
     day = parse_day_key(F.col("Date"))
     return typed.withColumn("date_key", normalize_day_key(F.col("Date"))).withColumn("day", day), rejects

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from daytally.operators.cleaning import (
     REASON,
     blanks_to_null,
-    quarantine,
+    clean_or_tag,
     reject_missing_rows,
     traces_to_zero,
 )
@@ -78,14 +78,11 @@ def quarantine_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "marked-csv")
     write_lines(rows, line, "key,priority,segment", path)
     raw = read_with_overflow(spark, path, ["key", *CELLS])
-    good, rejects = quarantine(raw, ["key", *CELLS], "key", OVERFLOW)
-    zeros = sum(F.when(F.col(c) == "0", 1).otherwise(0) for c in CELLS)
-    both = good.select(F.lit("kept").alias(REASON), zeros.alias("zeros"), "segment").unionByName(
-        rejects.select(REASON, F.lit(0).alias("zeros"), F.nullif(F.col("segment"), F.lit("")).alias("segment"))
-    )
-    counted = both.groupBy(REASON).agg(
+    rows = clean_or_tag(raw, ["key", *CELLS], "key", OVERFLOW)
+    zeros = sum(F.when(F.col(REASON).isNull() & (F.col(c) == "0"), 1).otherwise(0) for c in CELLS)
+    counted = rows.groupBy(F.coalesce(REASON, F.lit("kept")).alias(REASON)).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum("zeros").alias("zeros"),
-        F.count_if(F.col("segment").isNull()).alias("blanks"),
+        F.sum(zeros).alias("zeros"),
+        F.count_if(F.nullif(F.col("segment"), F.lit("")).isNull()).alias("blanks"),
     )
     return shown(counted)

@@ -165,9 +165,9 @@ select cast(date as varchar) as date, {ROUNDED}, cast(y as bigint) as "Total Cri
 """, "days"))
 def join_crime_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every observation day is in the table twice; the later copy counts and rows do not multiply."""
-    obs = daily_obs(spark, sf_dir)
-    older = obs.select(DAY, *[F.lit(-1.0).alias(m) for m in MEASURES], F.lit(1).alias("written"))
-    weather = one_per_day(older.unionByName(obs.withColumn("written", F.lit(2))), DAY, ["written"])
+    copies = daily_obs(spark, sf_dir).withColumn("written", F.explode(F.array(F.lit(1), F.lit(2))))
+    older = {m: F.when(F.col("written") == 1, F.lit(-1.0)).otherwise(F.col(m)) for m in MEASURES}
+    weather = one_per_day(copies.withColumns(older), DAY, ["written"])
     joined = join_by_day(crime_totals(spark, sf_dir), weather.drop("written"), DAY)
     return shown(joined.select(DAY, *MEASURES, TOTAL))
 

@@ -24,6 +24,9 @@ from daytally.sources.generated_tables import LAST_YEAR, daily_obs, day_frame, s
 # Relative difference up to which two ways of computing a sum count as equal.
 CLOSE = 1e-9
 
+# Decimals of a prediction that two ways of solving the same equations agree on.
+DIGITS = 4
+
 
 def _count(condition: Column) -> Column:
     """Aggregate: rows that meet the condition; null counts as met."""
@@ -135,22 +138,22 @@ _ERROR = f"(y - ({RIDGE_PREDICTION})) * (y - ({RIDGE_PREDICTION}))"
 
 
 @query("predict_vs_actual", sql(f"""
-select cast(date as varchar) as date, y as actual, round({RIDGE_PREDICTION}, 6) as prediction from days, ridge
+select cast(date as varchar) as date, y as actual, round({RIDGE_PREDICTION}, 4) as prediction from days, ridge
 """, "days", extra=ridge()))
 def predict_vs_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actual and predicted total of every day, linear model."""
-    return shown(regressors.fit_predict(regressors.LINEAR, stored_day_frame(spark, sf_dir)))
+    return shown(regressors.fit_predict(regressors.LINEAR, stored_day_frame(spark, sf_dir)), DIGITS)
 
 
 @query("score_new_days", sql(f"""
-select cast(o.date as varchar) as date, round({RIDGE_PREDICTION}, 6) as prediction
+select cast(o.date as varchar) as date, round({RIDGE_PREDICTION}, 4) as prediction
 from obs o, ridge where o.date >= date '{LAST_YEAR + 1}-01-01'
 """, "days", extra=ridge()))
 def score_new_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days after the last incident year, which the model has not seen."""
     model = regressors.fit(regressors.LINEAR, stored_day_frame(spark, sf_dir))
     new_days = daily_obs(spark, sf_dir).filter(F.col("date") >= F.lit(f"{LAST_YEAR + 1}-01-01").cast("date"))
-    return shown(regressors.score_new_days(model, new_days))
+    return shown(regressors.score_new_days(model, new_days), DIGITS)
 
 
 def _tree_sql(trees: int) -> str:
@@ -267,7 +270,7 @@ def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("align_predictions_by_date", sql(f"""
-select cast(date as varchar) as date, y as actual, round({RIDGE_PREDICTION}, 6) as linear, cast(3 as bigint) as tree_models
+select cast(date as varchar) as date, y as actual, round({RIDGE_PREDICTION}, 4) as linear, cast(3 as bigint) as tree_models
 from days, ridge
 """, "days", extra=ridge()))
 def align_predictions_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +279,7 @@ def align_predictions_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = {n: regressors.fit_predict(n, days) for n in regressors.MODELS}
     rows = align_series(days.select("date", qcol(TOTAL).cast("double").alias("actual")), series, "date", "prediction")
     trees = sum(qcol(n).isNotNull().cast("bigint") for n in regressors.MODELS if n != regressors.LINEAR)
-    return shown(rows.select("date", "actual", regressors.LINEAR, trees.alias("tree_models")))
+    return shown(rows.select("date", "actual", regressors.LINEAR, trees.alias("tree_models")), DIGITS)
 
 
 def _clustered(spark: SparkSession, sf_dir: str, k: int = clusters.DEFAULT_K):
