@@ -62,18 +62,13 @@ def category_domain(df: DataFrame, column: str) -> DataFrame:
 
 
 class Buckets:
-    """The leading categories of one dimension, known on the driver.
+    """The leading categories of one dimension, known on the driver."""
 
-    At most ``n + 1`` rows are fetched: the extra one only tells whether
-    anything is left for the ``other`` bucket.
-    """
-
-    def __init__(self, df: DataFrame, column: str, n: int = LEADING, weight: str | None = None, other: str = OTHER):
-        top = ranked_categories(category_frequency(df, column, weight), n + 1).collect()
-        names = [r["category"] for r in top]
+    def __init__(self, column: str, ranked: list[str], n: int = LEADING, other: str = OTHER):
+        """``ranked``: category names by falling frequency, at least ``n + 1`` of them if there are as many."""
         self.column, self.other = column, other
-        self.keep = names[:n]
-        self.domain = sorted({*self.keep, other}) if len(names) > n else sorted(self.keep)
+        self.keep = ranked[:n]
+        self.domain = sorted({*self.keep, other}) if len(ranked) > n else sorted(self.keep)
 
     def expr(self) -> Column:
         """Bucketed value of a row."""
@@ -81,6 +76,20 @@ class Buckets:
         return F.when(c.isin(self.keep), c).when(c.isNotNull(), F.lit(self.other))
 
 
+def leading_buckets(df: DataFrame, columns: list[str], n: int = LEADING, weight: str | None = None) -> list[Buckets]:
+    """Buckets of several dimensions, from one job.
+
+    At most ``n + 1`` rows per dimension are fetched: the extra one only tells
+    whether anything is left for the other bucket.
+    """
+    tops = [
+        ranked_categories(category_frequency(df, c, weight), n + 1).select(F.lit(i).alias("i"), "category", COUNT)
+        for i, c in enumerate(columns)
+    ]
+    found = sorted(reduce(DataFrame.unionAll, tops).collect(), key=lambda r: (r["i"], -r[COUNT], r["category"]))
+    return [Buckets(c, [r["category"] for r in found if r["i"] == i], n) for i, c in enumerate(columns)]
+
+
 def daily_pivot(df: DataFrame, column: str, domain: list[str], weight: str | None = None, day: str = DAY) -> DataFrame:
     """One row per day, one count column per category; days without any category are absent."""
     named = df.filter(qcol(column).isNotNull())

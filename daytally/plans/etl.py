@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from daytally.functions.days import format_day_key, normalize_day_key, parse_day_key, parse_ts_12h
 from daytally.names import qcol
 from daytally.operators.cleaning import cast_record_types, clean_or_tag, filter_year_upto, split_tagged
-from daytally.operators.daily import DAY, LEADING, Buckets, daily_long, daily_wide, day_cube
+from daytally.operators.daily import DAY, LEADING, daily_long, daily_wide, day_cube, leading_buckets
 from daytally.operators.dedupe import dedupe_keep_first
 from daytally.operators.series import MEASURES
 from daytally.scratch import materialize
@@ -55,8 +55,7 @@ def clean_incidents(spark: SparkSession, files: list[tuple[str, list[str]]], las
 def daily_tables(clean: DataFrame, n: int = LEADING) -> tuple[DataFrame, DataFrame]:
     """Wide and long daily table of cleaned incidents."""
     cube = materialize(day_cube(clean, "ts", [INCIDENT_TYPE, INCIDENT_LOCATION]), "day-cube")
-    types = Buckets(cube, INCIDENT_TYPE, n, "n")
-    locations = Buckets(cube, INCIDENT_LOCATION, n, "n")
+    types, locations = leading_buckets(cube, [INCIDENT_TYPE, INCIDENT_LOCATION], n, "n")
     return daily_wide(cube, types, locations), daily_long(cube, types, locations)
 
 

@@ -16,6 +16,7 @@ from daytally.operators.daily import (
     daily_pivot,
     daily_wide,
     join_daily,
+    leading_buckets,
     prefix_columns,
     row_total,
 )
@@ -35,8 +36,8 @@ from daytally.sources.generated_tables import (
 )
 
 
-def _buckets(cube: DataFrame) -> tuple[Buckets, Buckets]:
-    return Buckets(cube, TYPE, weight="n"), Buckets(cube, LOCATION, weight="n")
+def _buckets(cube: DataFrame) -> list[Buckets]:
+    return leading_buckets(cube, [TYPE, LOCATION], weight="n")
 
 
 @query("category_frequency", sql("select category, cast(n as bigint) as n from type_freq", "type_freq"))
@@ -71,14 +72,14 @@ _PIVOT = """(select cast(date as varchar) as date, {0} as category, cast(count(*
 @query("daily_pivot_by_type", sql(wide(_PIVOT.format("primary_type")), "bucketed"))
 def daily_pivot_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = stored_cube(spark, sf_dir)
-    types, _ = _buckets(cube)
+    (types,) = leading_buckets(cube, [TYPE], weight="n")
     return shown(daily_pivot(cube.withColumn(TYPE, types.expr()), TYPE, types.domain, "n"))
 
 
 @query("daily_pivot_by_location", sql(wide(_PIVOT.format("location")), "bucketed"))
 def daily_pivot_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = stored_cube(spark, sf_dir)
-    _, locations = _buckets(cube)
+    (locations,) = leading_buckets(cube, [LOCATION], weight="n")
     return shown(daily_pivot(cube.withColumn(LOCATION, locations.expr()), LOCATION, locations.domain, "n"))
 
 

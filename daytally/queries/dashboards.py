@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.operators.daily import Buckets, daily_wide
+from daytally.operators.daily import daily_wide, leading_buckets
 from daytally.operators.series import MEASURES
 from daytally.plans import endpoints
 from daytally.queries.base_sql import ROUNDED, sql
@@ -37,7 +37,7 @@ from (select cast(date as date) as d, * from
 """, "wide_rows"))
 def crime_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = stored_cube(spark, sf_dir)
-    wide = daily_wide(cube, Buckets(cube, TYPE, weight="n"), Buckets(cube, LOCATION, weight="n"))
+    wide = daily_wide(cube, *leading_buckets(cube, [TYPE, LOCATION], weight="n"))
     return shown(endpoints.crime_data(wide))
 
 

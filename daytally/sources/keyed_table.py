@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.names import q, qcol
+from daytally.names import qcol
 from daytally.operators.dedupe import keep_last
 
 
@@ -17,14 +17,15 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def upsert(existing: DataFrame, updates: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Existing rows with those of ``updates`` put over them, key by key.
 
-    The last update of a key in ``order`` wins and replaces the whole record.
+    The last update of a key in ``order`` wins and replaces the whole record:
+    columns it does not have become null, columns only it has are added.
     Updates without a key cannot be stored and are left out.  ``order`` columns
-    that the stored table does not have are dropped at the end.
+    that the stored table does not have are not stored.
     """
     latest = keep_last(updates.filter(qcol(key).isNotNull()), [key], order)
-    latest = latest.select([qcol(c) for c in existing.columns])
-    untouched = existing.join(latest.select(qcol(key)), key, "left_anti")
-    return untouched.select([qcol(c) for c in existing.columns]).unionByName(latest)
+    latest = latest.select([qcol(c) for c in latest.columns if c in existing.columns or c not in order])
+    untouched = existing.join(latest.select(qcol(key)), [key], "left_anti")
+    return untouched.select([qcol(c) for c in existing.columns]).unionByName(latest, allowMissingColumns=True)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

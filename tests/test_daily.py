@@ -37,20 +37,20 @@ def test_bucket_merges_with_real_other_and_keeps_null(rows, cats):
 
 def test_real_other_among_the_leading_ones(spark):
     df = spark.createDataFrame([("OTHER",)] * 3 + [("a",)] * 2 + [("b",)], "c string")
-    b = d.Buckets(df, "c", 2)
+    b = d.leading_buckets(df, ["c"], 2)[0]
     assert (b.keep, b.domain) == (["OTHER", "a"], ["OTHER", "a"])
     got = {r.c: r["count"] for r in df.withColumn("c", b.expr()).groupBy("c").count().collect()}
     assert got == {"OTHER": 4, "a": 2}
 
 
 def test_no_other_bucket_when_nothing_is_left(cats):
-    assert d.Buckets(cats, "c", 5).domain == ["OTHER", "a", "b", "c", "d"]
+    assert d.leading_buckets(cats, ["c"], 5)[0].domain == ["OTHER", "a", "b", "c", "d"]
     few = cats.filter("c <> 'OTHER'")
-    assert d.Buckets(few, "c", 4).domain == ["a", "b", "c", "d"]
+    assert d.leading_buckets(few, ["c"], 4)[0].domain == ["a", "b", "c", "d"]
 
 
 def test_buckets_equal_bucket_topn(rows, cats):
-    b = d.Buckets(cats, "c", 2)
+    b = d.leading_buckets(cats, ["c"], 2)[0]
     assert rows(cats.withColumn("c", b.expr())) == rows(d.bucket_topn(cats, "c", 2))
 
 
@@ -72,7 +72,7 @@ def null_dims(spark):
 
 def both(null_dims):
     cube = d.day_cube(null_dims.filter("ts is not null"), "ts", DIMS)
-    return cube, d.Buckets(cube, "type", weight="n"), d.Buckets(cube, "location", weight="n")
+    return cube, *d.leading_buckets(cube, DIMS, weight="n")
 
 
 def test_wide_table(null_dims):
@@ -122,12 +122,12 @@ def test_names_with_dots_and_commas(spark, rows):
     name = "PARKING LOT/GARAGE(NON.RESID.)"
     df = incidents(spark, [("2005-01-01 01:00:00", "t", name), ("2005-01-01 02:00:00", "t", "SCHOOL, PUBLIC")])
     cube = d.day_cube(df, "ts", DIMS)
-    wide = d.daily_wide(cube, d.Buckets(cube, "type", weight="n"), d.Buckets(cube, "location", weight="n"))
+    wide = d.daily_wide(cube, *d.leading_buckets(cube, DIMS, weight="n"))
     assert wide.select(f"`Location: {name}`", "`Location: SCHOOL, PUBLIC`").first() == (1, 1)
 
 
 def test_same_bucket_name_in_both_dimensions(spark):
     data = [("2005-01-01 01:00:00", f"t{i}", f"l{i}") for i in range(4)]
     cube = d.day_cube(incidents(spark, data), "ts", DIMS)
-    wide = d.daily_wide(cube, d.Buckets(cube, "type", 2, "n"), d.Buckets(cube, "location", 2, "n"))
+    wide = d.daily_wide(cube, *d.leading_buckets(cube, DIMS, 2, "n"))
     assert wide.select("`Type: OTHER`", "`Location: OTHER`").first() == (2, 2)

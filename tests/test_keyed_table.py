@@ -35,3 +35,11 @@ def test_partitioned_write(spark, tmp_path, stored):
     path = str(tmp_path / "p")
     k.write_table(stored, path, ["Date"])
     assert k.read_table(spark, path).filter("Date = '1/1/05'").count() == 1
+
+
+def test_records_may_differ_in_columns(spark, stored):
+    updates = spark.createDataFrame([("1/2/05", 4, 9, 1)], "Date string, n int, `Type: z` int, seq int")
+    out = k.upsert(stored, updates, "Date", ["seq"])
+    assert out.columns == ["Date", "n", "x.y", "Type: z"]
+    got = {r[0]: tuple(r)[1:] for r in out.collect()}
+    assert got == {"1/1/05": (1, "a", None), "1/2/05": (4, None, 9)}
