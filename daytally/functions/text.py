@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Marks in a field's short name and what they stand for.  They
-# are replaced from top to bottom, so the longer marks come first.
+# Marks in a field's short name and what they stand for, replaced
+# from top to bottom.
 SLUG_MARKS = [
     ("Location_", "Location: "),
     ("Type_", "Type: "),

@@ -19,6 +19,7 @@ from daytally.sources.csv_files import (
     read_period_files,
     read_with_overflow,
 )
+from daytally.sources.keyed_table import read_table, upsert_to, write_table
 
 # Columns of the raw files that the flows use.
 INCIDENT_KEY = ["ID", "Case Number"]
@@ -65,6 +66,15 @@ def keyed_records(wide: DataFrame) -> DataFrame:
     return wide.select(format_day_key(F.col(DAY)).alias("Date"), *rest)
 
 
+def store_daily(spark: SparkSession, wide: DataFrame, new_path: str, existing_path: str | None = None) -> DataFrame:
+    """Store the wide records under their day key, over those of an earlier table if there is one."""
+    records = keyed_records(wide)
+    if existing_path is None:
+        write_table(records, new_path)
+        return read_table(spark, new_path)
+    return upsert_to(spark, existing_path, records, "Date", [], new_path)
+
+
 def clean_weather(spark: SparkSession, paths, cells: list[str] = WEATHER_CELLS) -> tuple[DataFrame, DataFrame]:
     """Typed good days and raw rejects of the weather files.
 

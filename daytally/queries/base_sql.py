@@ -82,6 +82,12 @@ def sql(body: str, *names: str, extra: list[tuple[str, str]] | None = None) -> s
     return "with " + ",\n".join(f"{n} as ({text})" for n, text in parts) + "\n" + body
 
 
+# Sort key and date parts of a column named ``date``.
+PARTS = """
+cast((year(date) % 100) * 10000 + month(date) * 100 + day(date) as bigint) as "Date", cast(year(date) as bigint) as "Year",
+cast(month(date) as bigint) as "Month", cast(day(date) as bigint) as "Day"
+"""
+
 # Six measures rounded the way the Spark side rounds them.
 ROUNDED = ", ".join(f'round("{m}", 6) as "{m}"' for m in MEASURES)
 

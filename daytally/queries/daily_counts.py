@@ -83,7 +83,8 @@ def daily_pivot_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(daily_pivot(cube.withColumn(LOCATION, locations.expr()), LOCATION, locations.domain, "n"))
 
 
-_PREFIXED = "(select cast(date as varchar) as date, 'Type: ' || primary_type as category, cast(count(*) as bigint) as n from bucketed where primary_type is not null group by all)"
+_PREFIXED = """(select cast(date as varchar) as date, 'Type: ' || primary_type as category, cast(count(*) as bigint) as n
+                from bucketed where primary_type is not null group by all)"""
 
 
 @query("prefix_columns", sql(wide(_PREFIXED), "bucketed"))

@@ -6,19 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.operators.daily import daily_wide, leading_buckets
-from daytally.operators.series import MEASURES
 from daytally.plans import endpoints
-from daytally.queries.base_sql import ROUNDED, sql
+from daytally.queries.base_sql import PARTS, ROUNDED, sql
 from daytally.queries.registry import query, shown
 from daytally.scratch import materialize
 from daytally.sources.generated_tables import LOCATION, TYPE, crime_totals, daily_obs, stored_cube, table
 
-PARTS = """
-cast((year(date) % 100) * 10000 + month(date) * 100 + day(date) as bigint) as "Date", cast(year(date) as bigint) as "Year",
-cast(month(date) as bigint) as "Month", cast(day(date) as bigint) as "Day"
-"""
-
-
 @query("weather_data", sql(f"select {PARTS}, {ROUNDED} from obs", "obs"))
 def weather_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(endpoints.weather_data(daily_obs(spark, sf_dir)))

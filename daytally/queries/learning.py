@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from daytally.ml import clusters, features, regressors
 from daytally.names import qcol
 from daytally.operators.daily import TOTAL
-from daytally.operators.joins import align_series, count_present
+from daytally.operators.joins import align_series
 from daytally.operators.series import MEASURES
 from daytally.queries.base_sql import RIDGE_PREDICTION, ridge, sql
 from daytally.queries.registry import query, shown
@@ -87,7 +87,9 @@ def index_categorical_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = features.assembler(["status", "priority"]).transform(rows)
     coded = features.category_indexer().fit(vectors).transform(vectors)
     codes = vector_to_array(F.col("indexedFeatures"))
-    grouped = coded.groupBy("status", "priority", codes[0].cast("int").alias("status_code"), codes[1].alias("priority_code"))
+    grouped = coded.groupBy(
+        "status", "priority", codes[0].cast("int").alias("status_code"), codes[1].alias("priority_code")
+    )
     return shown(grouped.agg(F.count(F.lit(1)).alias("rows")))
 
 
@@ -379,7 +381,8 @@ def kmeans_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scatter points of all days; the cluster number is only checked to be there."""
     _, assigned = _clustered(spark, sf_dir)
     rows = clusters.scatter_points(assigned)
-    return shown(rows.select("date", "Tavg", "crimes", "precip", F.col("cluster").isNotNull().cast("bigint").alias("has_cluster")))
+    known = F.col("cluster").isNotNull().cast("bigint")
+    return shown(rows.select("date", "Tavg", "crimes", "precip", known.alias("has_cluster")))
 
 
 @query("collect_cluster_series", sql("""

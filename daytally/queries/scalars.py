@@ -113,7 +113,8 @@ def midrange_int_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.groupBy("low", "high", mid.alias("mid")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-_SLUG_SQL = "'Location_' || replace(p_name, ' ', '_') || '_s_' || p_type || '_c_' || p_size || '_p1_' || replace(p_brand, '#', '_h_') || '_x__p2_' || '__Type_' || p_type"
+_SLUG_SQL = """'Location_' || replace(p_name, ' ', '_') || '_s_' || p_type || '_c_' || p_size
+               || '_p1_' || replace(p_brand, '#', '_h_') || '_x__p2_' || '__Type_' || p_type"""
 
 
 @query("decode_field_slug", f"""

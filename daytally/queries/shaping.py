@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daytally.functions.text import decode_slug_text
 from daytally.operators.cleaning import cast_record_types, drop_columns, filter_year_upto, union_by_name
 from daytally.operators.daily import TOTAL
 from daytally.operators.dedupe import dedupe_keep_first
@@ -16,8 +17,7 @@ from daytally.operators.series import (
     project_measures,
     series_rows,
 )
-from daytally.functions.text import decode_slug_text
-from daytally.queries.base_sql import ROUNDED, sql
+from daytally.queries.base_sql import PARTS, ROUNDED, sql
 from daytally.queries.registry import query, shown
 from daytally.sources.generated_tables import (
     FIRST_ORDER,
@@ -97,13 +97,7 @@ def project_measures_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(project_measures(day_frame(spark, sf_dir), "date", [*MEASURES, TOTAL]))
 
 
-_PARTS = """
-cast((year(date) % 100) * 10000 + month(date) * 100 + day(date) as bigint) as "Date", cast(year(date) as bigint) as "Year",
-cast(month(date) as bigint) as "Month", cast(day(date) as bigint) as "Day"
-"""
-
-
-@query("project_single_field", sql(f'select {_PARTS}, cast(total as double) as "Total_Crimes" from totals', "totals"))
+@query("project_single_field", sql(f'select {PARTS}, cast(total as double) as "Total_Crimes" from totals', "totals"))
 def project_single_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One count, asked for by its short name, as a double beside its date parts."""
     slug = "Total_Crimes"
@@ -129,7 +123,7 @@ def cast_record_types_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("default_row_if_empty", sql(f"""
-select 'filled' as leg, {_PARTS}, round("Tavg", 6) as "Tavg" from obs
+select 'filled' as leg, {PARTS}, round("Tavg", 6) as "Tavg" from obs
 union all select 'empty', 0, 0, 0, 0, 0
 """, "obs"))
 def default_row_if_empty_query(spark: SparkSession, sf_dir: str) -> DataFrame:

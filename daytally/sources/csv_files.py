@@ -18,9 +18,10 @@ OVERFLOW = "_overflow"
 
 # Position of a row in its input, in the order the files were given.
 FILE_RANK = "_file_rank"
+FILE_NAME = "_file_name"
 BLOCK_START = "_block_start"
 ROW_IN_BLOCK = "_row_in_block"
-READ_ORDER = [FILE_RANK, BLOCK_START, ROW_IN_BLOCK]
+READ_ORDER = [FILE_RANK, FILE_NAME, BLOCK_START, ROW_IN_BLOCK]
 
 # Cell texts that count as missing in the incident files.
 MISSING_TOKENS = [
@@ -65,14 +66,17 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def _tag_position(df: DataFrame, rank: int) -> DataFrame:
-    """Add the file rank, the split's offset in its file and the row's place in the split.
+    """Add the file rank and name, the split's offset in the file and the row's place in the split.
 
     ``monotonically_increasing_id`` only grows inside one task, which is all
-    that is needed below ``(file rank, split offset)``.
+    that is needed below the split's offset.  The name only matters, and is
+    only carried, where a path holds several files.
     """
+    several = len(df.inputFiles()) > 1
     return df.select(
         "*",
         F.lit(rank).alias(FILE_RANK),
+        (F.col("_metadata.file_name") if several else F.lit(None).cast("string")).alias(FILE_NAME),
         F.col("_metadata.file_block_start").alias(BLOCK_START),
         F.monotonically_increasing_id().alias(ROW_IN_BLOCK),
     )
@@ -82,8 +86,8 @@ def read_period_files(spark: SparkSession, files: list[tuple[str, list[str]]], m
     """Several period files as one input, with each row's position in it.
 
     ``files`` lists ``(path, column names in that file's order)``; columns are
-    matched by name.  Order by ``READ_ORDER`` to get the input order.  Each
-    path is one file: the order inside a folder of files is undefined.
+    matched by name.  Order by ``READ_ORDER`` to get the input order; a folder
+    of files counts in the order of their names.
     """
     parts = []
     for rank, (path, columns) in enumerate(files):

@@ -83,3 +83,13 @@ def test_provenance(spark, tmp_path):
     df = c.read_header_names(spark, [str(tmp_path / "one.csv"), str(tmp_path / "two.csv")])
     named = df.select("a", F.substring_index(c.provenance(), "/", -1).alias("file"))
     assert sorted(tuple(r) for r in named.collect()) == [("1", "one.csv"), ("2", "two.csv")]
+
+
+def test_a_folder_counts_in_the_order_of_its_file_names(spark, tmp_path):
+    folder = tmp_path / "period"
+    folder.mkdir()
+    put(folder / "b.csv", "id,kind", "1,second", "2,only")
+    put(folder / "a.csv", "id,kind", "1,first", "1,again")
+    df = c.read_period_files(spark, [(str(folder), ["id", "kind"])])
+    first = dedupe_keep_first(df, ["id"], c.READ_ORDER).select("id", "kind")
+    assert sorted(tuple(r) for r in first.collect()) == [("1", "first"), ("2", "only")]

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +51,56 @@ def test_incident_flow(spark, incident_files):
     assert {(str(r.date), r.category) for r in long.collect()} >= {("2005-01-06", "THEFT"), ("2005-01-07", "STREET")}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_flow_matches_a_single_process(spark, tmp_path, seed):
+    """Random files with repeated keys, gaps, a real OTHER and late years, against pandas."""
+    rng = np.random.default_rng(seed)
+    files, frames = [], []
+    for p, first in enumerate((2005, 2008, 2012)):
+        n = 700
+        years = rng.integers(first, first + 4, n)
+        ids = rng.integers(0, 900, n)
+        df = pd.DataFrame({
+            "ID": ids,
+            "Case Number": [f"C{i}" for i in ids],
+            "Date": [f"{m:02d}/{d:02d}/{y} {h:02d}:00:00 {ap}" for m, d, y, h, ap in zip(
+                rng.integers(1, 13, n), rng.integers(1, 4, n), years, rng.integers(1, 13, n), rng.choice(["AM", "PM"], n))],
+            "Block": "b, with comma",
+            "Primary Type": rng.choice([*(f"T{i}" for i in range(30)), "OTHER", None], n),
+            "Location Description": rng.choice([*(f"L/{i} (X.)" for i in range(40)), None], n),
+            "Year": [None if g else y for g, y in zip(rng.random(n) < 0.05, years)],
+        })
+        path = tmp_path / f"{p}.csv"
+        df.to_csv(path)
+        files.append((str(path), header_columns(spark, str(path))))
+        frames.append(pd.read_csv(path))
+    df = pd.concat(frames, axis=0, ignore_index=True).drop_duplicates(subset=["ID", "Case Number"])
+    df = df[~(df["Year"] > 2014)].copy()
+    day = pd.to_datetime(df["Date"], format="%m/%d/%Y %I:%M:%S %p").dt.strftime("%m/%d/%y")
+    want = {}
+    for prefix, column in (("Type: ", "Primary Type"), ("Location: ", "Location Description")):
+        counts = sorted(df[column].value_counts().items(), key=lambda kv: (-kv[1], kv[0]))
+        df.loc[df[column].isin([k for k, _ in counts[20:]]), column] = "OTHER"
+        want[prefix] = pd.crosstab(day, df[column]).add_prefix(prefix)
+    total = want["Type: "].sum(axis=1).to_frame(TOTAL)
+    expected = total.join(want["Type: "], how="inner").join(want["Location: "], how="inner")
+    wide, long = etl.daily_tables(etl.clean_incidents(spark, files))
+    got = etl.keyed_records(wide).toPandas().set_index("Date").loc[expected.index, list(expected.columns)]
+    assert wide.count() == len(expected)
+    assert (got.to_numpy() == expected.to_numpy()).all()
+    by_dimension = {r.dimension: r.n for r in long.groupBy("dimension").agg(F.sum("n").alias("n")).collect()}
+    assert by_dimension == {"Type": df["Primary Type"].count(), "Location": df["Location Description"].count()}
+
+
+def test_daily_records_are_stored_and_overwritten(spark, incident_files, tmp_path):
+    wide, _ = etl.daily_tables(etl.clean_incidents(spark, incident_files))
+    first = etl.store_daily(spark, wide, str(tmp_path / "v1"))
+    assert first.count() == 2
+    newer = wide.filter("date = '2014-12-31'").withColumn(TOTAL, F.lit(9).cast("bigint"))
+    second = etl.store_daily(spark, newer, str(tmp_path / "v2"), str(tmp_path / "v1"))
+    assert {r.Date: r[TOTAL] for r in second.collect()} == {"01/05/05": 2, "12/31/14": 9}
+
+
 @pytest.fixture
 def weather(spark, tmp_path):
     path = tmp_path / "weather.csv"
