@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.ml.features import SEED, scale_to_unit_deviation
-from daytally.names import qcol
+from daytally.names import q, qcol
 from daytally.operators.daily import TOTAL
 from daytally.operators.series import MEASURES
 
@@ -34,10 +34,15 @@ def fit_scaled(points: DataFrame, k: int = DEFAULT_K, seed: int = SEED) -> tuple
     return fit(scaled, k, seed, "scaled"), scaled
 
 
+def center_records(spark: SparkSession, model: KMeansModel, names: list[str] = DIMENSIONS) -> DataFrame:
+    """One record per centre: ``cluster`` and a column per dimension."""
+    rows = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
+    return spark.createDataFrame(rows, "cluster int, " + ", ".join(f"{q(n)} double" for n in names))
+
+
 def centers(spark: SparkSession, model: KMeansModel, names: list[str] = DIMENSIONS) -> DataFrame:
     """``(cluster, feature, value)``."""
-    rows = [(i, n, float(v)) for i, c in enumerate(model.clusterCenters()) for n, v in zip(names, c)]
-    return spark.createDataFrame(rows, "cluster int, feature string, value double")
+    return center_records(spark, model, names).unpivot(["cluster"], [q(n) for n in names], "feature", "value")
 
 
 def assign(points: DataFrame, model: KMeansModel) -> DataFrame:
@@ -57,8 +62,7 @@ def squared_error(rows: DataFrame, spark: SparkSession, model: KMeansModel, name
     The broadcast side has one row per cluster, at most ``MAX_K``.
     """
     slots = [f"_c{i}" for i in range(len(names))]
-    data = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
-    table = spark.createDataFrame(data, "cluster int, " + ", ".join(f"{s} double" for s in slots))
+    table = center_records(spark, model, slots)
     joined = rows.join(F.broadcast(table), "cluster")
     parts = [(qcol(n) - F.col(s)) * (qcol(n) - F.col(s)) for n, s in zip(names, slots)]
     return joined.withColumn("error", reduce(lambda a, b: a + b, parts)).drop(*slots)

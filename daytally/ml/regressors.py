@@ -8,7 +8,9 @@ comes to the driver.
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
@@ -19,6 +21,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daytally.functions.numbers import root_mean_square
 from daytally.ml.features import SEED, assembler, category_indexer, labelled, split
 from daytally.operators.series import MEASURES
 from daytally.operators.stats import rmse
@@ -28,6 +31,9 @@ MODELS = [LINEAR, GBT, TREE, FOREST]
 REG_PARAM = 0.3
 GBT_ROUNDS = 10
 
+# Fits that are submitted at the same time; each is a chain of short jobs.
+PARALLEL_FITS = 4
+
 
 def stages(name: str, inputs: list[str] = MEASURES, seed: int = SEED, reg_param: float = REG_PARAM) -> list:
     """Assembler, indexer (tree models) and estimator."""
@@ -48,6 +54,20 @@ def fit(name: str, days: DataFrame, inputs: list[str] = MEASURES, **params) -> P
     return Pipeline(stages=stages(name, inputs, **params)).fit(labelled(days))
 
 
+def fit_all(requests: list[tuple[str, DataFrame]]) -> list[PipelineModel]:
+    """Independent fits, side by side; the order of the results is that of the requests."""
+    if not requests:
+        return []
+    run = inheritable_thread_target(requests[0][1].sparkSession)(lambda request: fit(*request))
+    with ThreadPool(min(PARALLEL_FITS, len(requests))) as pool:
+        return pool.map(run, requests)
+
+
+def fit_models(days: DataFrame, names: list[str] = MODELS) -> dict[str, PipelineModel]:
+    """Several models on the same days."""
+    return dict(zip(names, fit_all([(n, days) for n in names])))
+
+
 def predict(model: PipelineModel, days: DataFrame, day: str = "date") -> DataFrame:
     """``(day, actual, prediction)``."""
     scored = model.transform(labelled(days))
@@ -81,13 +101,14 @@ def leaderboard(days: DataFrame, day: str = "date", names: list[str] = MODELS) -
     training part, measured on the rest.
     """
     train, held = split(days, day)
+    parts = {"train": (days, days), "holdout": (train, held)}
+    wanted = [(name, part) for name in names for part in parts]
+    models = fit_all([(name, parts[part][0]) for name, part in wanted])
     rows = []
-    for name in names:
-        for part, fitted_on, measured_on in (("train", days, days), ("holdout", train, held)):
-            scored = predict(fit(name, fitted_on), measured_on, day)
-            error = F.col("actual") - F.col("prediction")
-            row = scored.agg(F.count(F.lit(1)).alias("days"), F.sqrt(F.avg(error * error)).alias("rmse"))
-            rows.append(row.select(F.lit(name).alias("model"), F.lit(part).alias("split"), "days", "rmse"))
+    for (name, part), model in zip(wanted, models):
+        error = root_mean_square(F.col("actual") - F.col("prediction"))
+        row = predict(model, parts[part][1], day).agg(F.count(F.lit(1)).alias("days"), error.alias("rmse"))
+        rows.append(row.select(F.lit(name).alias("model"), F.lit(part).alias("split"), "days", "rmse"))
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 

@@ -6,6 +6,7 @@ is the wide daily table; ``days`` is their join, stored beforehand.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,9 +79,9 @@ def correlation_chart(days: DataFrame) -> DataFrame:
     return correlation_percent(correlations(days), CHART_ORDER)
 
 
-def regression(days: DataFrame, name: str) -> dict[str, DataFrame]:
+def regression(days: DataFrame, name: str, model: PipelineModel | None = None) -> dict[str, DataFrame]:
     """Actual and predicted totals by day, and the training error."""
-    model = regressors.fit(name, days)
+    model = model or regressors.fit(name, days)
     out = {"predictions": regressors.predict(model, days), "rmse": regressors.model_rmse(model, days)}
     if name != regressors.LINEAR:
         out["summary"] = regressors.summary(days.sparkSession, {name: model})
@@ -102,7 +103,8 @@ def kmeans(days: DataFrame, k: int = clusters.DEFAULT_K) -> dict[str, DataFrame]
 
 def predictive_data(days: DataFrame, k: int = clusters.DEFAULT_K) -> dict[str, dict[str, DataFrame] | DataFrame]:
     """Everything the predictive page shows."""
-    out: dict[str, dict[str, DataFrame] | DataFrame] = {name: regression(days, name) for name in regressors.MODELS}
+    models = regressors.fit_models(days)
+    out: dict[str, dict[str, DataFrame] | DataFrame] = {n: regression(days, n, m) for n, m in models.items()}
     out["kmeans"] = kmeans(days, k)
     out["corr"] = correlations(days)
     return out

@@ -264,7 +264,7 @@ where (select count(*) from days) > 0
 def model_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invariant: tree counts and inputs as configured; depth 1 to 5 and a fitting number of nodes."""
     days = stored_day_frame(spark, sf_dir)
-    models = {n: regressors.fit(n, days) for n in (regressors.GBT, regressors.FOREST, regressors.TREE)}
+    models = regressors.fit_models(days, [regressors.GBT, regressors.FOREST, regressors.TREE])
     rows = regressors.summary(spark, models)
     nodes = F.col("total_nodes")
     fits = F.col("depth").between(1, 5) & (nodes > F.col("num_trees")) & (nodes <= F.col("num_trees") * 63)
@@ -278,7 +278,7 @@ from days, ridge
 def align_predictions_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actual values and four predictions side by side; the linear one is exact, the others must be there."""
     days = stored_day_frame(spark, sf_dir)
-    series = {n: regressors.fit_predict(n, days) for n in regressors.MODELS}
+    series = {n: regressors.predict(m, days) for n, m in regressors.fit_models(days).items()}
     rows = align_series(days.select("date", qcol(TOTAL).cast("double").alias("actual")), series, "date", "prediction")
     trees = sum(qcol(n).isNotNull().cast("bigint") for n in regressors.MODELS if n != regressors.LINEAR)
     return shown(rows.select("date", "actual", regressors.LINEAR, trees.alias("tree_models")), DIGITS)
