@@ -29,9 +29,9 @@ def series_rows(df: DataFrame, day: str, types: dict[str, str]) -> DataFrame:
     return df.select(*date_parts(qcol(day)), *[qcol(c).cast(t).alias(c) for c, t in types.items()])
 
 
-def sort_by_day(df: DataFrame, key: str) -> DataFrame:
+def sort_by_day(df: DataFrame, *keys: str) -> DataFrame:
     """Ascending by day, as a distributed range sort."""
-    return df.orderBy(qcol(key))
+    return df.orderBy(*[qcol(k) for k in keys])
 
 
 def with_day_ordinal(df: DataFrame, day: str, name: str = "ordinal") -> DataFrame:

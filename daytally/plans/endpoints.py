@@ -26,6 +26,9 @@ from daytally.operators.series import (
 from daytally.operators.stats import corr_with_target, correlation_percent
 from daytally.sources.json_docs import forecast_days, history_days
 
+# The sort key has a two-digit year, so the year goes first.
+BY_DAY = ["Year", "Date"]
+
 # Order of the measures in the correlation chart.
 CHART_ORDER = ["Tavg", "Tmin", "Tmax", "Depart", "PrecipTotal", "Heat"]
 
@@ -33,24 +36,24 @@ CHART_ORDER = ["Tavg", "Tmin", "Tmax", "Depart", "PrecipTotal", "Heat"]
 def weather_data(weather: DataFrame) -> DataFrame:
     """All measures by day; one row of zeros when there are none."""
     rows = series_rows(weather, DAY, {m: "double" for m in MEASURES})
-    return sort_by_day(default_row_if_empty(rows), "Date")
+    return sort_by_day(default_row_if_empty(rows), *BY_DAY)
 
 
 def weather_field(weather: DataFrame, field: str) -> DataFrame:
     """One measure by day."""
-    return sort_by_day(default_row_if_empty(project_field(weather, DAY, field)), "Date")
+    return sort_by_day(default_row_if_empty(project_field(weather, DAY, field)), *BY_DAY)
 
 
 def crime_data(wide: DataFrame) -> DataFrame:
     """All counts by day; an empty table stays empty."""
     counts = {c: "bigint" for c in wide.columns if c != DAY}
-    return sort_by_day(series_rows(wide, DAY, counts), "Date")
+    return sort_by_day(series_rows(wide, DAY, counts), *BY_DAY)
 
 
 def crime_field(wide: DataFrame, slug: str) -> DataFrame:
     """One count by day, asked for and returned under its short name."""
     rows = project_field(wide, DAY, decode_slug_text(slug), slug)
-    return sort_by_day(default_row_if_empty(rows), "Date")
+    return sort_by_day(default_row_if_empty(rows), *BY_DAY)
 
 
 def past_weather(docs: DataFrame, doc: str, day: str, asof: Column, days: int = 5) -> DataFrame:

@@ -139,7 +139,7 @@ def json_infer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("json_nested_extract", """
 select o_orderkey, strftime(o_orderdate, '%m/%d/%Y') as "Date", left(o_orderpriority, 1) as "PrecipTotal",
-       cast(o_custkey as varchar) as "Tavg", o_orderstatus as "Tmax", cast(o_orderkey % 7 as varchar) as "Tmin"
+       cast(o_custkey as varchar) as "Tavg", o_orderstatus as "Tmax", o_orderpriority as "Tmin"
 from orders
 """)
 def json_nested_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +148,7 @@ def json_nested_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("o_orderpriority", 1, 1).alias("precipi"),
         F.col("o_custkey").cast("string").alias("meantempi"),
         F.col("o_orderstatus").alias("maxtempi"),
-        (F.col("o_orderkey") % 7).cast("string").alias("mintempi"),
+        F.col("o_orderpriority").alias("mintempi"),
     )
     doc = F.to_json(F.struct(F.struct(F.array(summary, summary).alias("dailysummary")).alias("history")))
     orders = table(spark, sf_dir, "orders")
@@ -161,16 +161,15 @@ def json_nested_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 select c_custkey, cast(date '2024-02-26' + cast(c_nationkey as integer) + cast(i as integer) as varchar) as day,
        cast(low as varchar) as "Tmin", cast(high as varchar) as "Tmax",
        cast(cast(floor((low + high) / 2.0) as bigint) as varchar) as "Tavg"
-from (select c_custkey, c_nationkey, i, c_custkey % 40 - 20 + i as low, c_custkey % 40 - 17 + 2 * i as high
-      from (select c_custkey, c_nationkey, unnest(range(0, 3 + c_custkey % 5)) as i from customer))
+from (select c_custkey, c_nationkey, i, c_nationkey - 20 + i as low, c_nationkey - 17 + 2 * i as high
+      from (select c_custkey, c_nationkey, unnest(range(0, 1 + least(c_nationkey, 9))) as i from customer))
 where i < 5
 """)
 def json_array_forecast_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast documents of three to seven days, one per customer."""
-    last = F.lit(2).cast("bigint") + F.col("c_custkey") % 5
-    base = F.col("c_custkey") % 40
+    """Forecast documents of one to ten days, one per customer."""
+    base = F.col("c_nationkey")
     entries = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), last),
+        F.sequence(F.lit(0), F.least(base, F.lit(9))),
         lambda i: F.struct(
             (base - 20 + i).cast("string").alias("low"), (base - 17 + 2 * i).cast("string").alias("high")
         ),
