@@ -24,7 +24,11 @@ COUNT = "n"
 
 
 def day_cube(incidents: DataFrame, ts: str, dims: list[str]) -> DataFrame:
-    """``(date, *dims, n)``.  Counts are summed inside each task before the shuffle."""
+    """``(date, *dims, n)``.  Counts are summed inside each task before the shuffle.
+
+    Incidents without a day count for the frequencies, so they stay; the daily
+    tables leave them out.
+    """
     keyed = incidents.select(truncate_to_day(qcol(ts)).alias(DAY), *[qcol(d) for d in dims])
     return keyed.groupBy(DAY, *[qcol(d) for d in dims]).agg(F.count(F.lit(1)).alias(COUNT))
 
@@ -90,11 +94,15 @@ def leading_buckets(df: DataFrame, columns: list[str], n: int = LEADING, weight:
     return [Buckets(c, [r["category"] for r in found if r["i"] == i], n) for i, c in enumerate(columns)]
 
 
-def daily_pivot(df: DataFrame, column: str, domain: list[str], weight: str | None = None, day: str = DAY) -> DataFrame:
+def _dated(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(DAY).isNotNull())
+
+
+def daily_pivot(df: DataFrame, column: str, domain: list[str], weight: str | None = None) -> DataFrame:
     """One row per day, one count column per category; days without any category are absent."""
-    named = df.filter(qcol(column).isNotNull())
-    wide = named.groupBy(day).pivot(column, domain).agg(_rows(weight).cast("bigint"))
-    return wide.select(day, *[F.coalesce(qcol(c), F.lit(0).cast("bigint")).alias(c) for c in domain])
+    named = _dated(df).filter(qcol(column).isNotNull())
+    wide = named.groupBy(DAY).pivot(column, domain).agg(_rows(weight).cast("bigint"))
+    return wide.select(DAY, *[F.coalesce(qcol(c), F.lit(0).cast("bigint")).alias(c) for c in domain])
 
 
 def prefix_columns(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
@@ -118,7 +126,8 @@ def daily_totals(incidents: DataFrame, ts: str, type_col: str, location_col: str
 
     Incidents without a type do not count; a day needs a type and a location.
     """
-    per_day = incidents.groupBy(truncate_to_day(qcol(ts)).alias(DAY)).agg(
+    dated = _dated(incidents.withColumn(DAY, truncate_to_day(qcol(ts))))
+    per_day = dated.groupBy(DAY).agg(
         F.count(qcol(type_col)).alias(TOTAL), F.count(qcol(location_col)).alias("_located")
     )
     return per_day.filter((qcol(TOTAL) > 0) & (F.col("_located") > 0)).drop("_located")
@@ -130,7 +139,7 @@ def daily_wide(cube: DataFrame, types: Buckets, locations: Buckets) -> DataFrame
     cols, t, loc = [], types.expr(), locations.expr()
     for prefix, value, domain in (("Type: ", t, types.domain), ("Location: ", loc, locations.domain)):
         cols += [F.sum(F.when(value == c, n).otherwise(0)).cast("bigint").alias(prefix + c) for c in domain]
-    wide = cube.groupBy(DAY).agg(
+    wide = _dated(cube).groupBy(DAY).agg(
         F.sum(F.when(t.isNotNull(), n)).cast("bigint").alias(TOTAL),
         F.sum(F.when(loc.isNotNull(), n)).alias("_located"),
         *cols,
@@ -144,6 +153,6 @@ def daily_long(cube: DataFrame, types: Buckets, locations: Buckets) -> DataFrame
         F.struct(F.lit("Type").alias("dimension"), types.expr().alias("category")),
         F.struct(F.lit("Location").alias("dimension"), locations.expr().alias("category")),
     )
-    rows = cube.select(DAY, COUNT, F.explode(entries).alias("_e")).select(DAY, "_e.dimension", "_e.category", COUNT)
+    rows = _dated(cube).select(DAY, COUNT, F.explode(entries).alias("_e")).select(DAY, "_e.dimension", "_e.category", COUNT)
     named = rows.filter(F.col("category").isNotNull())
     return named.groupBy(DAY, "dimension", "category").agg(F.sum(COUNT).alias(COUNT))

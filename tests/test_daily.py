@@ -71,7 +71,7 @@ def null_dims(spark):
 
 
 def both(null_dims):
-    cube = d.day_cube(null_dims.filter("ts is not null"), "ts", DIMS)
+    cube = d.day_cube(null_dims, "ts", DIMS)
     return cube, *d.leading_buckets(cube, DIMS, weight="n")
 
 
@@ -98,14 +98,13 @@ def test_wide_equals_join_of_pivots(null_dims):
 
 
 def test_totals_without_the_cube(null_dims, rows):
-    rows_of = null_dims.filter("ts is not null")
     cube, types, locations = both(null_dims)
     wide = d.daily_wide(cube, types, locations)
-    assert rows(d.daily_totals(rows_of, "ts", "type", "location")) == rows(wide.select("date", f"`{d.TOTAL}`"))
+    assert rows(d.daily_totals(null_dims, "ts", "type", "location")) == rows(wide.select("date", f"`{d.TOTAL}`"))
 
 
 def test_pivot_counts_rows_and_skips_days_without_category(null_dims, rows):
-    df = null_dims.selectExpr("cast(ts as date) as date", "location").filter("date is not null")
+    df = null_dims.selectExpr("cast(ts as date) as date", "location")
     got = [(str(r[0]), *r[1:]) for r in rows(d.daily_pivot(df, "location", ["street"]))]
     assert got == [("2005-01-01", 2), ("2005-01-02", 0), ("2005-01-03", 1)]
 
@@ -118,6 +117,20 @@ def test_long_table(null_dims, rows):
     assert all(c is not None for _, _, c, _ in got)
 
 
+def test_incidents_without_a_day_count_for_the_frequencies(null_dims, rows):
+    cube, types, locations = both(null_dims)
+    assert rows(d.category_frequency(cube, "type", "n")) == [("arson", 1), ("theft", 4)]
+    assert all(r.date is not None for r in d.daily_long(cube, types, locations).collect())
+
+
+def test_no_incidents_at_all(null_dims):
+    cube, types, locations = both(null_dims.limit(0))
+    assert types.domain == [] and locations.domain == []
+    assert d.daily_wide(cube, types, locations).columns == ["date", d.TOTAL]
+    assert d.daily_wide(cube, types, locations).count() == 0
+    assert d.daily_long(cube, types, locations).count() == 0
+
+
 def test_names_with_dots_and_commas(spark, rows):
     name = "PARKING LOT/GARAGE(NON.RESID.)"
     df = incidents(spark, [("2005-01-01 01:00:00", "t", name), ("2005-01-01 02:00:00", "t", "SCHOOL, PUBLIC")])
