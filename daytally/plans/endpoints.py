@@ -11,17 +11,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.functions.days import format_long_day
+from daytally.functions.groups import SERIES_GROUPS
 from daytally.functions.text import decode_slug_text
 from daytally.ml import clusters, features, regressors
+from daytally.names import qcol
 from daytally.operators.daily import DAY, TOTAL
 from daytally.operators.joins import overlay
 from daytally.operators.series import (
     MEASURES,
     default_row_if_empty,
     project_field,
+    project_measures,
     recent_days,
     series_rows,
     sort_by_day,
+    unpivot,
 )
 from daytally.operators.stats import corr_with_target, correlation_percent
 from daytally.sources.json_docs import forecast_days, history_days
@@ -56,6 +60,15 @@ def crime_field(wide: DataFrame, slug: str) -> DataFrame:
     return sort_by_day(default_row_if_empty(rows), *BY_DAY)
 
 
+def group_series(table: DataFrame, group: str) -> DataFrame:
+    """``(date, category, n)`` of the series one page shows together; only their columns are read."""
+    if group not in SERIES_GROUPS:
+        raise ValueError(f"unknown group {group!r}; known: {list(SERIES_GROUPS)}")
+    names = [decode_slug_text(slug) for slug in SERIES_GROUPS[group]]
+    values = project_measures(table, DAY, names).select(DAY, *[qcol(n).cast("double").alias(n) for n in names])
+    return sort_by_day(unpivot(values, DAY, names), DAY)
+
+
 def past_weather(docs: DataFrame, doc: str, day: str, asof: Column, days: int = 5) -> DataFrame:
     """Measures of the last days from their history documents."""
     recent = recent_days(docs, day, asof, days)

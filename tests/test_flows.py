@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from daytally import jobs
 from daytally.operators.daily import TOTAL
 from daytally.plans import endpoints, etl
 from daytally.sources.csv_files import header_columns
@@ -139,6 +140,32 @@ def test_endpoints(spark, incident_files, weather):
     ]
 
 
+def test_group_series(weather):
+    daily = weather[0].drop("Date").withColumnRenamed("day", "date")
+    rows = endpoints.group_series(daily, "weather").collect()
+    assert len(rows) == 12 and {r.category for r in rows} == {"Depart", "Heat", "PrecipTotal", "Tavg", "Tmin", "Tmax"}
+    with pytest.raises(ValueError, match="unknown group"):
+        endpoints.group_series(daily, "nope")
+    with pytest.raises(ValueError, match="unknown column"):
+        endpoints.group_series(daily, "total")
+
+
+def test_jobs(spark, incident_files, tmp_path):
+    out = str(tmp_path / "daily")
+    jobs.run(spark, ["daily", "--out", out, *[p for p, _ in incident_files]])
+    assert spark.read.parquet(f"{out}/wide").count() == 2
+    long = spark.read.parquet(f"{out}/long")
+    assert set(long.columns) == {"date", "dimension", "category", "n"}
+    again = str(tmp_path / "again")
+    jobs.run(spark, ["daily", "--out", again, "--existing", out, incident_files[0][0]])
+    assert sorted(r.Date for r in spark.read.parquet(f"{again}/wide").collect()) == ["01/05/05", "12/31/14"]
+    path = tmp_path / "w.csv"
+    path.write_text("Date,Depart,Heat,PrecipTotal,Tavg,Tmax,Tmin\n1/5/05,2,40,T,25,30,20\n1/6/05,M,1,1,1,1,1\n")
+    jobs.run(spark, ["weather", "--out", str(tmp_path / "weather"), str(path)])
+    assert spark.read.parquet(str(tmp_path / "weather" / "days")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "weather" / "rejects")).first().reason == "missing_marker"
+
+
 def test_predictive_data(spark):
     from daytally.operators.series import MEASURES
 
