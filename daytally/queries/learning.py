@@ -7,6 +7,7 @@ that property and no more; its docstring says so.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,20 +162,35 @@ def score_new_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _tree_sql(trees: int) -> str:
     return sql(f"""
 select cast(count(*) as bigint) as days, cast({trees} as bigint) as num_trees, cast(0 as bigint) as too_deep,
-       cast(0 as bigint) as without_prediction, cast(0 as bigint) as outside_range, cast(0 as bigint) as worse_than_mean
+       cast(0 as bigint) as without_prediction, cast(0 as bigint) as off_trees, cast(0 as bigint) as outside_range,
+       cast(0 as bigint) as worse_than_mean
 from days""", "days")
 
 
+def _with_tree_sum(model: PipelineModel, days: DataFrame) -> DataFrame:
+    """Predictions of an ensemble beside ``from_trees``, the weighted sum of what its single trees predict."""
+    rows = features.labelled(days)
+    for stage in model.stages:
+        rows = stage.transform(rows)
+    ensemble, total = model.stages[-1], F.lit(0.0)
+    for i, (tree, weight) in enumerate(zip(ensemble.trees, ensemble.treeWeights)):
+        rows = tree.setFeaturesCol("indexedFeatures").setPredictionCol(f"_t{i}").transform(rows)
+        total = total + F.col(f"_t{i}") * weight
+    return rows.select("date", F.col("label").alias("actual"), "prediction", total.alias("from_trees"))
+
+
 def _tree_checks(spark: SparkSession, sf_dir: str, name: str, bounded: bool) -> DataFrame:
-    """Invariant counts of a tree model fitted on all days.
+    """Invariant counts of an ensemble of trees fitted on all days.
 
-    ``bounded``: an average of leaves cannot leave the range of the totals; a
-    boosted sum can.
+    ``bounded``: the prediction is the mean of the trees and cannot leave the
+    range of the totals; otherwise it is their weighted sum, which can.
     """
     days = stored_day_frame(spark, sf_dir)
     model = regressors.fit(name, days)
     shape = regressors.summary(spark, {name: model}).first()
-    rows = regressors.predict(model, days)
+    rows = _with_tree_sum(model, days)
+    trees = F.col("from_trees") / shape["num_trees"] if bounded else F.col("from_trees")
+    off = F.abs(F.col("prediction") - trees) > CLOSE * (1 + F.abs(trees))
     span = rows.agg(F.min("actual").alias("lo"), F.max("actual").alias("hi"), F.var_pop("actual").alias("var")).first()
     outside = (F.col("prediction") < span["lo"]) | (F.col("prediction") > span["hi"])
     error = (F.col("actual") - F.col("prediction")) * (F.col("actual") - F.col("prediction"))
@@ -183,6 +199,7 @@ def _tree_checks(spark: SparkSession, sf_dir: str, name: str, bounded: bool) ->
         F.lit(shape["num_trees"]).cast("bigint").alias("num_trees"),
         F.lit(int(shape["depth"] > 5)).cast("bigint").alias("too_deep"),
         F.count_if(F.col("prediction").isNull()).alias("without_prediction"),
+        _count(off).alias("off_trees"),
         _count(outside if bounded else F.lit(False)).alias("outside_range"),
         (F.avg(error) > F.lit(span["var"])).cast("bigint").alias("worse_than_mean"),
     )
@@ -190,13 +207,13 @@ def _tree_checks(spark: SparkSession, sf_dir: str, name: str, bounded: bool) ->
 
 @query("gbt_regression", _tree_sql(10))
 def gbt_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invariant: every day gets a prediction, 10 trees of depth 5 at most, better than the mean."""
+    """Invariant: predictions are the weighted sum of 10 trees of depth 5 at most, and beat the mean."""
     return _tree_checks(spark, sf_dir, regressors.GBT, bounded=False)
 
 
 @query("random_forest_regression", _tree_sql(20))
 def random_forest_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invariant: as above with 20 trees, and predictions stay in the range of the totals."""
+    """Invariant: predictions are the mean of 20 trees, stay in the range of the totals, and beat the mean."""
     return _tree_checks(spark, sf_dir, regressors.FOREST, bounded=True)
 
 
