@@ -14,9 +14,6 @@ SEED = 42
 MAX_CATEGORIES = 4
 TRAIN_SHARE = 0.7
 
-# Resolution of the split: shares are met to one part in this many.
-_SPLIT_STEPS = 1_000_000
-
 
 def assembler(inputs: list[str] = MEASURES, output: str = "features") -> VectorAssembler:
     """Rows with a null input are left out of the result."""
@@ -50,14 +47,21 @@ def scale_to_unit_deviation(df: DataFrame, source: str = "features", output: str
     return model, model.transform(df)
 
 
+def split_bound(share: float = TRAIN_SHARE) -> str:
+    """The share as eight hexadecimal digits: digests below it are on the training side."""
+    if not 0 < share < 1:
+        raise ValueError(f"share must be between 0 and 1, got {share}")
+    return f"{int(share * 2**32):08x}"
+
+
 def in_train(key: Column, share: float = TRAIN_SHARE, seed: int = SEED) -> Column:
     """True for the rows of the training part.
 
-    The side depends on the row's key alone, so a recomputed task puts every
-    row where it was before.
+    The side depends on a digest of the row's key alone, so a recomputed task
+    puts every row where it was before, and other engines can tell the sides too.
     """
-    step = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(_SPLIT_STEPS))
-    return step < F.lit(int(share * _SPLIT_STEPS))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    return F.substring(digest, 1, 8) < F.lit(split_bound(share))
 
 
 def split(df: DataFrame, key: str = "date", share: float = TRAIN_SHARE, seed: int = SEED) -> tuple[DataFrame, DataFrame]:

@@ -97,12 +97,12 @@ def wide(source: str) -> str:
     return f"select * from (pivot {source} on category using coalesce(cast(sum(n) as bigint), 0) group by date)"
 
 
-def ridge(reg_param: float = 0.3) -> list[tuple[str, str]]:
-    """Closed form of the linear model on ``days`` by Gauss-Jordan elimination.
+def ridge(source: str = "days", name: str = "ridge", reg_param: float = 0.3) -> list[tuple[str, str]]:
+    """Closed form of the linear model on the rows of ``source`` by Gauss-Jordan elimination.
 
     The penalty of a standardised fit is ``reg_param / std(y)`` times the
     variance of each measure on the diagonal of their covariance matrix.  Ends
-    in ``ridge`` with one row: ``b1`` to ``b6`` and ``b0``.
+    in ``name`` with one row: ``b1`` to ``b6`` and ``b0``.
     """
     k = len(MEASURES)
     x = [f'"{m}"' for m in MEASURES]
@@ -113,7 +113,7 @@ def ridge(reg_param: float = 0.3) -> list[tuple[str, str]]:
             cells.append(f"covar_pop({x[i]}, {x[j]}){extra} as a{i + 1}_{j + 1}")
         cells.append(f"covar_pop({x[i]}, y) as a{i + 1}_{k + 1}")
     means = ", ".join(f"avg({x[i]}) as m{i + 1}" for i in range(k)) + ", avg(y) as m0"
-    steps = [("g0", f"select {', '.join(cells)}, {means} from days")]
+    steps = [(f"{name}_0", f"select {', '.join(cells)}, {means} from {source}")]
     keep = ", ".join(f"m{i}" for i in range(k + 1))
     for p in range(1, k + 1):
         row = []
@@ -121,10 +121,10 @@ def ridge(reg_param: float = 0.3) -> list[tuple[str, str]]:
             for j in range(p + 1, k + 2):
                 pivot = f"a{p}_{j} / a{p}_{p}"
                 row.append(f"{pivot} as a{p}_{j}" if i == p else f"a{i}_{j} - a{i}_{p} * {pivot} as a{i}_{j}")
-        steps.append((f"g{p}", f"select {', '.join(row)}, {keep} from g{p - 1}"))
+        steps.append((f"{name}_{p}", f"select {', '.join(row)}, {keep} from {name}_{p - 1}"))
     b = ", ".join(f"a{i}_{k + 1} as b{i}" for i in range(1, k + 1))
     b0 = "m0 - (" + " + ".join(f"a{i}_{k + 1} * m{i}" for i in range(1, k + 1)) + ")"
-    steps.append(("ridge", f"select {b}, {b0} as b0 from g{k}"))
+    steps.append((name, f"select {b}, {b0} as b0 from {name}_{k}"))
     return steps
 
 

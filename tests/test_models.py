@@ -84,6 +84,19 @@ def test_split_is_disjoint_complete_and_stable(days):
     assert {r.date for r in again.collect()} == a
 
 
+@pytest.mark.parametrize("share", [0, 1, 1.5])
+def test_share_is_checked(days, share):
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        features.split(days, share=share)
+
+
+def test_share_is_met(spark):
+    train, _ = features.split(spark.range(20000), "id")
+    assert abs(train.count() / 20000 - 0.7) < 0.02
+    other, _ = features.split(spark.range(20000), "id", seed=7)
+    assert train.join(other, "id").count() < 0.6 * 20000
+
+
 def test_leaderboard(days, data):
     board = {(r.model, r.split): r for r in regressors.leaderboard(days).collect()}
     assert len(board) == 8
