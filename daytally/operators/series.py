@@ -35,23 +35,21 @@ def sort_by_day(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def with_day_ordinal(df: DataFrame, day: str, name: str = "ordinal") -> DataFrame:
-    """Position of each day in date order, for a table with one row per day.
+    """Position of each row's day among the distinct days, counted from 1.
 
     Days are numbered inside their year, and the year's first position comes
-    from the row counts of the years before it.  The window over the counts has
-    one row per calendar year, the other at most 366 rows per year, so no task
-    sees the whole series.
+    from the day counts of the years before it.  The window over the counts has
+    one row per calendar year, the other at most 366 distinct days per year, so
+    no task sees the whole series, however many rows a day has.
     """
-    years = df.withColumn("_year", F.year(qcol(day)))
-    before = F.sum("_rows").over(W.orderBy("_year").rowsBetween(W.unboundedPreceding, -1))
-    starts = years.groupBy("_year").agg(F.count(F.lit(1)).alias("_rows"))
+    days = df.select(qcol(day)).distinct().withColumn("_year", F.year(qcol(day)))
+    before = F.sum("_days").over(W.orderBy("_year").rowsBetween(W.unboundedPreceding, -1))
+    starts = days.groupBy("_year").agg(F.count(F.lit(1)).alias("_days"))
     starts = starts.select("_year", F.coalesce(before, F.lit(0)).alias("_before"))
-    placed = years.withColumn("_place", F.row_number().over(W.partitionBy("_year").orderBy(qcol(day))))
-    placed = placed.join(starts, "_year")
-    return placed.select(
-        *[qcol(c) for c in df.columns],
-        (F.col("_before") + F.col("_place")).cast("bigint").alias(name),
-    )
+    place = F.row_number().over(W.partitionBy("_year").orderBy(qcol(day)))
+    placed = days.withColumn("_place", place).join(starts, "_year")
+    ordinals = placed.select(qcol(day), (F.col("_before") + F.col("_place")).cast("bigint").alias(name))
+    return df.join(ordinals, [day])
 
 
 def preview(df: DataFrame, order: list[str], n: int = 2) -> DataFrame:

@@ -70,15 +70,15 @@ def group_series(table: DataFrame, group: str) -> DataFrame:
 
 
 def past_weather(docs: DataFrame, doc: str, day: str, asof: Column, days: int = 5) -> DataFrame:
-    """Measures of the last days from their history documents."""
-    recent = recent_days(docs, day, asof, days)
+    """Measures of the last days from their history documents, latest first."""
+    recent = recent_days(docs, day, asof, days).orderBy(F.desc(day))
     return history_days(recent, doc, F.col(day))
 
 
 def forecast(docs: DataFrame, doc: str, asof: Column, days: int = 5) -> DataFrame:
     """The next days from a forecast document, ``asof`` included."""
     rows = forecast_days(docs, doc, asof, days)
-    return rows.withColumn("Date", format_long_day(F.col("day"))).drop("day")
+    return rows.orderBy("day").withColumn("Date", format_long_day(F.col("day"))).drop("day")
 
 
 def temperature_and_total(weather: DataFrame, wide: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import numpy as np
 import pandas as pd
@@ -140,6 +141,23 @@ def test_endpoints(spark, incident_files, weather):
     ]
 
 
+def test_past_weather_and_forecast(spark):
+    asof = dt.date(2017, 4, 30)
+
+    def history(t):
+        return json.dumps({"history": {"dailysummary": [{"precipi": "0", "meantempi": str(t), "maxtempi": "9", "mintempi": "1"}]}})
+
+    docs = spark.createDataFrame([(asof - dt.timedelta(i), history(i)) for i in range(-2, 9)], "day date, doc string")
+    past = endpoints.past_weather(docs, "doc", "day", F.lit(asof)).collect()
+    assert [(r.Date, r.Tavg) for r in past] == [(f"04/{30 - i}/2017", str(i)) for i in range(5)]
+    entries = [{"low": str(i), "high": str(i + 3)} for i in range(10)]
+    nested = {"query": {"results": {"channel": {"item": {"forecast": entries}}}}}
+    one = spark.createDataFrame([(json.dumps(nested),)], "doc string")
+    ahead = endpoints.forecast(one, "doc", F.lit(asof)).collect()
+    assert [(r.Date, r.Tmin, r.Tmax, r.Tavg) for r in ahead][:2] == [("04/30/2017", "0", "3", "1"), ("05/01/2017", "1", "4", "2")]
+    assert len(ahead) == 5
+
+
 def test_group_series(weather):
     daily = weather[0].drop("Date").withColumnRenamed("day", "date")
     rows = endpoints.group_series(daily, "weather").collect()

@@ -76,6 +76,12 @@ def test_ordinals_match_sorting(spark, found):
     assert got == {d: i for i, d in enumerate(sorted(found), 1)}
 
 
+def test_rows_of_one_day_share_its_ordinal(spark):
+    df = spark.createDataFrame([(D(3), 1), (D(1), 2), (D(3), 3)], "date date, v int")
+    out = s.with_day_ordinal(df, "date")
+    assert sorted((r.v, r.ordinal) for r in out.collect()) == [(1, 2), (2, 1), (3, 2)]
+
+
 def test_sorting_and_preview(spark):
     df = spark.createDataFrame([(D(3),), (D(1),), (D(2),)], "date date")
     assert [r.date for r in s.sort_by_day(df, "date").collect()] == [D(1), D(2), D(3)]
