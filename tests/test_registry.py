@@ -5,12 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from daytally.queries.registry import ORACLE, QUERIES
 from tests.compare import differences, duck
 
 SF_DIR = "/root/testdata/sf0.001"
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
