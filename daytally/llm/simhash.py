@@ -203,15 +203,14 @@ def select(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) ->
     """The documents, with all their columns, that stand for their component.
 
     That is the document with the component's smallest id; of rows that repeat
-    this id the first by their text stays.  Rows without an id stay unless a
-    document with an id is in their component.
+    this id the first by their text stays.  A row without an id stands for
+    itself and stays.
     """
-    name, number = "_kept", "_number"
-    while name in docs.columns or number in docs.columns:
-        name, number = name + "_", number + "_"
-    found = near_duplicates(docs, shingle, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.select(F.col("doc_id").alias(name)).distinct()
-    rows = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
+    name = "_kept"
+    while name in docs.columns:
+        name += "_"
+    found = near_duplicates(docs, shingle, max_bits).where(F.col("doc_id") == F.col("component_id"))
+    kept = found.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")).distinct()
     same = Window.partitionBy("doc_id").orderBy("text")
-    first = rows.withColumn(number, F.row_number().over(same)).where(F.col("doc_id").isNull() | (F.col(number) == 1))
-    return first.drop(number)
+    first = docs.join(kept, "doc_id", "left_semi").withColumn(name, F.row_number().over(same)).where(F.col(name) == 1)
+    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))
