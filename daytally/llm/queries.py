@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import brown, byte_bpe, lsh_forest, minhash, mixing, pii, ratings, simhash, toxicity
+from daytally.llm import brown, byte_bpe, lsh_forest, minhash, mixing, pii, ratings, simhash, suffixes, toxicity
 from daytally.llm.words import crc_of_id, documents
 
 #: A byte-level vocabulary; its place is a parameter of the operator.
@@ -33,6 +33,10 @@ def op3_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(documents(spark, sf_dir))
 
 
+def op4_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return ratings.rate(docs, ratings.fit(docs, grades(labels(spark, sf_dir))))
@@ -62,10 +66,6 @@ def op10_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_edits(documents(spark, sf_dir))
 
 
-QUERIES = {
-    name: made
-    for name, made in globals().items()
-    if name.startswith("op") and callable(made)
-}
+QUERIES = {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
 
 ORACLE: dict[str, str] = {}
