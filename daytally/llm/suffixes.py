@@ -61,7 +61,7 @@ _NO_ID = np.iinfo(np.int64).max
 
 def _packed(*arrays: np.ndarray) -> bytes:
     """Arrays of equal length as compressed byte planes."""
-    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays]
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
     return zstandard.compress(b"".join(planes), 3)
 
 
