@@ -161,9 +161,10 @@ class Run:
             inside = starts + LENGTH <= self.ends[np.minimum(left, len(self.ends) - 1)]
             starts, place = starts[inside], place[inside]
             if len(starts):
+                # anchors are the smallest hashes, so these are mixed again to be dealt out evenly;
                 # a new anchor, or the same place seen from another document, begins a new group of windows
                 change = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)])
-                found.append([place[change] + at, starts[change], starts[np.r_[change[1:] - 1, len(starts) - 1]], hashed[place[change]] >> np.uint64(16)])
+                found.append([place[change] + at, starts[change], starts[np.r_[change[1:] - 1, len(starts) - 1]], fmix(hashed[place[change]]) >> np.uint64(16)])
         return [np.concatenate(x) for x in zip(*found, strict=True)]
 
     def around(self, anchors: np.ndarray) -> np.ndarray:
