@@ -1,7 +1,7 @@
 """Command line for the two loads.
 
     python -m daytally.jobs daily --out DIR [--existing DIR] FILE...
-    python -m daytally.jobs weather --out DIR [--columns A,B,...] FILE...
+    python -m daytally.jobs weather --out DIR [--existing DIR] [--columns A,B,...] FILE...
 """
 
 from __future__ import annotations
@@ -11,21 +11,21 @@ import argparse
 from pyspark.sql import SparkSession
 
 from daytally.plans import etl
-from daytally.sources.csv_files import header_columns
+from daytally.sources.csv_files import with_headers
 from daytally.sources.keyed_table import write_table
 
 
 def load_daily(spark: SparkSession, files: list[str], out: str, existing: str | None) -> None:
     """Wide records to ``out/wide``, over those of ``existing/wide``; counts to ``out/long``."""
-    wide, long = etl.daily_tables(etl.clean_incidents(spark, [(f, header_columns(spark, f)) for f in files]))
+    wide, long = etl.daily_tables(etl.clean_incidents(spark, with_headers(spark, files)))
     etl.store_daily(spark, wide, f"{out}/wide", existing and f"{existing}/wide")
     write_table(long, f"{out}/long", ["dimension"])
 
 
-def load_weather(spark: SparkSession, files: list[str], out: str, columns: list[str]) -> None:
-    """Good days to ``out/days``, rejected rows to ``out/rejects``."""
+def load_weather(spark: SparkSession, files: list[str], out: str, existing: str | None, columns: list[str] | None) -> None:
+    """Good days by key to ``out/days``, over those of ``existing/days``; rejected rows to ``out/rejects``."""
     good, rejects = etl.clean_weather(spark, files, columns)
-    write_table(good, f"{out}/days")
+    etl.store_weather(spark, good, f"{out}/days", existing and f"{existing}/days")
     write_table(rejects, f"{out}/rejects")
 
 
@@ -35,14 +35,14 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
     for kind in ("daily", "weather"):
         sub = kinds.add_parser(kind)
         sub.add_argument("--out", required=True)
+        sub.add_argument("--existing")
         sub.add_argument("files", nargs="+")
-    kinds.choices["daily"].add_argument("--existing")
-    kinds.choices["weather"].add_argument("--columns", default=",".join(etl.WEATHER_CELLS))
+    kinds.choices["weather"].add_argument("--columns", help="names in the order of the files, instead of their headers")
     args = parser.parse_args(arguments)
     if args.kind == "daily":
         load_daily(spark, args.files, args.out, args.existing)
     else:
-        load_weather(spark, args.files, args.out, args.columns.split(","))
+        load_weather(spark, args.files, args.out, args.existing, args.columns and args.columns.split(","))
 
 
 if __name__ == "__main__":

@@ -9,7 +9,8 @@ from daytally.functions.days import format_day_key, normalize_day_key, parse_day
 from daytally.names import qcol
 from daytally.operators.cleaning import cast_record_types, clean_or_tag, filter_year_upto, split_tagged
 from daytally.operators.daily import DAY, LEADING, daily_long, daily_wide, day_cube, leading_buckets
-from daytally.operators.dedupe import dedupe_keep_first
+from daytally.operators.dedupe import dedupe_keep_first, keep_last
+from daytally.operators.joins import one_per_day
 from daytally.operators.series import MEASURES
 from daytally.scratch import materialize
 from daytally.sources.csv_files import (
@@ -17,7 +18,7 @@ from daytally.sources.csv_files import (
     READ_ORDER,
     missing_to_null,
     read_period_files,
-    read_with_overflow,
+    read_tagged_files,
 )
 from daytally.sources.keyed_table import read_table, upsert_to, write_table
 
@@ -67,23 +68,49 @@ def keyed_records(wide: DataFrame) -> DataFrame:
 
 
 def store_daily(spark: SparkSession, wide: DataFrame, new_path: str, existing_path: str | None = None) -> DataFrame:
-    """Store the wide records under their day key, over those of an earlier table if there is one."""
-    records = keyed_records(wide)
+    """Store the wide records under their day key, over those of an earlier table if there is one.
+
+    Two days a century apart have the same key; the later day is stored.
+    """
+    rest = [qcol(c) for c in wide.columns if c != DAY]
+    records = wide.select(format_day_key(F.col(DAY)).alias("Date"), F.col(DAY).alias("_day"), *rest)
     if existing_path is None:
-        write_table(records, new_path)
+        write_table(keep_last(records, ["Date"], ["_day"]).drop("_day"), new_path)
         return read_table(spark, new_path)
-    return upsert_to(spark, existing_path, records, "Date", [], new_path)
+    return upsert_to(spark, existing_path, records, "Date", ["_day"], new_path)
 
 
-def clean_weather(spark: SparkSession, paths, cells: list[str] = WEATHER_CELLS) -> tuple[DataFrame, DataFrame]:
-    """Typed good days and raw rejects of the weather files.
+def clean_weather(spark: SparkSession, paths, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Typed good days, one row each, and raw rejects of the weather files.
 
-    ``cells`` names the file's columns in order.  The files are read once: both
-    results come from a stored table of all rows.
+    Columns go by each file's own header; ``columns`` renames them in the
+    order of the file where a header is of no use.  The marker tests look at
+    every column of the header, and only then the needed ones are picked; one
+    that is absent is an error.  Of several good rows of one day the last in
+    read order counts.  The files are read once: both results come from a
+    stored table of all rows.
     """
-    raw = read_with_overflow(spark, paths, cells)
+    raw = read_tagged_files(spark, paths)
+    cells = [c for c in raw.columns if c not in (*READ_ORDER, OVERFLOW)]
+    if columns is not None:
+        if len(columns) != len(cells):
+            raise ValueError(f"{len(columns)} names for {len(cells)} columns: {cells}")
+        raw, cells = raw.withColumnsRenamed(dict(zip(cells, columns, strict=True))), list(columns)
+    missing = [c for c in WEATHER_CELLS if c not in cells]
+    if missing:
+        raise ValueError(f"the weather files have no column(s) {missing}; their header: {cells}")
     tagged = materialize(clean_or_tag(raw, cells, "Date", OVERFLOW), "weather")
     good, rejects = split_tagged(tagged, OVERFLOW)
-    typed = cast_record_types(good, {m: "double" for m in MEASURES})
     day = parse_day_key(F.col("Date"))
-    return typed.withColumn("date_key", normalize_day_key(F.col("Date"))).withColumn("day", day), rejects
+    good = good.select(*[qcol(c) for c in [*WEATHER_CELLS, *READ_ORDER]], normalize_day_key(F.col("Date")).alias("date_key"), day.alias("day"))
+    last = one_per_day(good, "date_key", READ_ORDER).drop(*READ_ORDER)
+    typed = cast_record_types(last, {m: "double" for m in MEASURES})
+    return typed, rejects.drop(*READ_ORDER)
+
+
+def store_weather(spark: SparkSession, good: DataFrame, new_path: str, existing_path: str | None = None) -> DataFrame:
+    """Store the good days by their key, over those of an earlier table if there is one."""
+    if existing_path is None:
+        write_table(good, new_path)
+        return read_table(spark, new_path)
+    return upsert_to(spark, existing_path, good, "date_key", ["day"], new_path)

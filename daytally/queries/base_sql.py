@@ -92,9 +92,13 @@ cast(month(date) as bigint) as "Month", cast(day(date) as bigint) as "Day"
 ROUNDED = ", ".join(f'round("{m}", 6) as "{m}"' for m in MEASURES)
 
 
-def wide(source: str) -> str:
-    """Pivot of ``(date, category, n)`` rows to one bigint column per category."""
-    return f"select * from (pivot {source} on category using coalesce(cast(sum(n) as bigint), 0) group by date)"
+def counts_text(source: str, day: str = "date") -> str:
+    """One text per day with every category of ``(date, category, n)`` rows and its count, zeros included, by name."""
+    return f"""
+select {day}, string_agg(c.category || '=' || cast(coalesce(r.n, 0) as bigint), ';' order by c.category) as counts
+from (select distinct date from {source}) d cross join (select distinct category from {source}) c
+     left join (select date, category, sum(n) as n from {source} group by all) r on r.date = d.date and r.category = c.category
+group by d.date"""
 
 
 def ridge(source: str = "days", name: str = "ridge", reg_param: float = 0.3) -> list[tuple[str, str]]:

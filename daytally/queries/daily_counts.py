@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daytally.names import qcol
 from daytally.operators.daily import (
     DAY,
     TOTAL,
@@ -22,7 +23,7 @@ from daytally.operators.daily import (
 )
 from daytally.operators.joins import join_by_day, one_per_day, overlay
 from daytally.operators.series import MEASURES, preview, select_groups, sort_by_day, unpivot, with_day_ordinal
-from daytally.queries.base_sql import ROUNDED, sql, wide
+from daytally.queries.base_sql import ROUNDED, counts_text, sql
 from daytally.queries.registry import query, shown
 from daytally.scratch import materialize
 from daytally.sources.generated_tables import (
@@ -36,6 +37,12 @@ from daytally.sources.generated_tables import (
 )
 
 
+def as_text(wide: DataFrame, keep: list[str]) -> DataFrame:
+    """A wide frame as one text per row, made from its own columns by name, so that any set of columns can be compared."""
+    counts = [F.concat(F.lit(f"{c}="), qcol(c)) for c in sorted(wide.columns) if c not in keep]
+    return wide.select(*keep, F.concat_ws(";", *counts).alias("counts"))
+
+
 def _buckets(cube: DataFrame) -> list[Buckets]:
     return leading_buckets(cube, [TYPE, LOCATION], weight="n")
 
@@ -65,31 +72,37 @@ def category_domain_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category_domain(bucket_topn(stored_cube(spark, sf_dir), LOCATION, weight="n"), LOCATION)
 
 
-_PIVOT = """(select cast(date as varchar) as date, {0} as category, cast(count(*) as bigint) as n
-             from bucketed where {0} is not null group by all)"""
+def _pivot_rows(category: str, column: str) -> list[tuple[str, str]]:
+    """The ``(date, category, n)`` rows of one pivot, as a common table expression."""
+    return [("pivot_rows", f"""
+        select cast(date as varchar) as date, {category} as category, count(*) as n
+        from bucketed where {column} is not null group by all""")]
 
 
-@query("daily_pivot_by_type", sql(wide(_PIVOT.format("primary_type")), "bucketed"))
-def daily_pivot_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cube = stored_cube(spark, sf_dir)
-    (types,) = leading_buckets(cube, [TYPE], weight="n")
-    return shown(daily_pivot(cube.withColumn(TYPE, types.expr()), TYPE, types.domain, "n"))
+def _pivot_sql(category: str, column: str) -> str:
+    return sql(counts_text("pivot_rows", "d.date"), "bucketed", extra=_pivot_rows(category, column))
 
 
-@query("daily_pivot_by_location", sql(wide(_PIVOT.format("location")), "bucketed"))
-def daily_pivot_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _pivot(spark: SparkSession, sf_dir: str, dimension: str) -> DataFrame:
+    """One row per day, one column per leading category."""
     cube = stored_cube(spark, sf_dir)
-    (locations,) = leading_buckets(cube, [LOCATION], weight="n")
-    return shown(daily_pivot(cube.withColumn(LOCATION, locations.expr()), LOCATION, locations.domain, "n"))
+    (leading,) = leading_buckets(cube, [dimension], weight="n")
+    return shown(daily_pivot(cube.withColumn(dimension, leading.expr()), dimension, leading.domain, "n"))
+
 
+@query("daily_pivot_by_type", _pivot_sql("primary_type", "primary_type"))
+def daily_pivot_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_text(_pivot(spark, sf_dir, TYPE), [DAY])
 
-_PREFIXED = """(select cast(date as varchar) as date, 'Type: ' || primary_type as category, cast(count(*) as bigint) as n
-                from bucketed where primary_type is not null group by all)"""
 
+@query("daily_pivot_by_location", _pivot_sql("location", "location"))
+def daily_pivot_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_text(_pivot(spark, sf_dir, LOCATION), [DAY])
 
-@query("prefix_columns", sql(wide(_PREFIXED), "bucketed"))
+
+@query("prefix_columns", _pivot_sql("'Type: ' || primary_type", "primary_type"))
 def prefix_columns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_columns(daily_pivot_by_type(spark, sf_dir), "Type: ", [DAY])
+    return as_text(prefix_columns(_pivot(spark, sf_dir, TYPE), "Type: ", [DAY]), [DAY])
 
 
 @query("row_total", sql("""
@@ -97,11 +110,11 @@ select cast(date as varchar) as date, cast(count(primary_type) as bigint) as "To
 from bucketed where primary_type is not null group by date
 """, "bucketed"))
 def row_total_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pivot = daily_pivot_by_type(spark, sf_dir)
+    pivot = _pivot(spark, sf_dir, TYPE)
     return row_total(pivot, [c for c in pivot.columns if c != DAY])
 
 
-_WIDE = sql(wide("wide_rows"), "wide_rows")
+_WIDE = sql(counts_text("wide_rows", "d.date"), "wide_rows")
 
 
 @query("join_daily_matrices", _WIDE)
@@ -111,23 +124,27 @@ def join_daily_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     types, locations = _buckets(cube)
     by_type = daily_pivot(cube.withColumn(TYPE, types.expr()), TYPE, types.domain, "n")
     by_location = daily_pivot(cube.withColumn(LOCATION, locations.expr()), LOCATION, locations.domain, "n")
-    return shown(
-        join_daily(
-            row_total(by_type, types.domain),
-            prefix_columns(by_type, "Type: ", [DAY]),
-            prefix_columns(by_location, "Location: ", [DAY]),
-        )
+    joined = join_daily(
+        row_total(by_type, types.domain),
+        prefix_columns(by_type, "Type: ", [DAY]),
+        prefix_columns(by_location, "Location: ", [DAY]),
     )
+    return as_text(shown(joined), [DAY])
 
 
-@query("daily_wide_table", _WIDE)
-def daily_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_wide_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole flow from incidents to one wide row per day."""
     cube = stored_cube(spark, sf_dir)
     types, locations = _buckets(cube)
     return shown(daily_wide(cube, types, locations))
 
 
+@query("daily_wide_table", _WIDE)
+def daily_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table; each row's columns are shown as one text."""
+    return as_text(daily_wide_frame(spark, sf_dir), [DAY])
+
+
 @query("daily_long_table", sql("""
 select cast(date as varchar) as date, dimension, category, cast(n as bigint) as n from long_counts
 """, "long_counts"))
@@ -144,7 +161,7 @@ from totals t cross join (select distinct category from wide_rows) c
 """, "wide_rows"))
 def unpivot_wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every column of the wide table as its own series."""
-    return unpivot(daily_wide_table(spark, sf_dir), DAY)
+    return unpivot(daily_wide_frame(spark, sf_dir), DAY)
 
 
 @query("series_group_select", sql("""

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.operators.daily import daily_wide, leading_buckets
-from daytally.plans import endpoints
-from daytally.queries.base_sql import PARTS, ROUNDED, sql
+from daytally.operators.series import MEASURES
+from daytally.plans import endpoints, etl
+from daytally.queries.base_sql import PARTS, ROUNDED, counts_text, sql
+from daytally.queries.daily_counts import as_text
 from daytally.queries.registry import query, shown
-from daytally.scratch import materialize
+from daytally.scratch import fresh_path, materialize
 from daytally.sources.generated_tables import LOCATION, TYPE, crime_totals, daily_obs, stored_cube, table
 
 @query("weather_data", sql(f"select {PARTS}, {ROUNDED} from obs", "obs"))
@@ -22,16 +24,14 @@ def weather_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(endpoints.weather_field(daily_obs(spark, sf_dir), "PrecipTotal"))
 
 
-@query("crime_data", sql("""
-select cast((year(d) % 100) * 10000 + month(d) * 100 + day(d) as bigint) as "Date", cast(year(d) as bigint) as "Year",
-       cast(month(d) as bigint) as "Month", cast(day(d) as bigint) as "Day", * exclude (d, date)
-from (select cast(date as date) as d, * from
-      (pivot wide_rows on category using coalesce(cast(sum(n) as bigint), 0) group by date))
-""", "wide_rows"))
+_CRIME = counts_text("wide_rows", "cast(d.date as date) as date")
+
+
+@query("crime_data", sql(f"select {PARTS}, counts from ({_CRIME})", "wide_rows"))
 def crime_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = stored_cube(spark, sf_dir)
     wide = daily_wide(cube, *leading_buckets(cube, [TYPE, LOCATION], weight="n"))
-    return shown(endpoints.crime_data(wide))
+    return as_text(shown(endpoints.crime_data(wide)), ["Date", "Year", "Month", "Day"])
 
 
 @query("crime_field", sql(f'select {PARTS}, cast(total as double) as "Total_Crimes" from totals', "totals"))
@@ -56,3 +56,46 @@ def past_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"), doc.alias("doc"))
     docs = materialize(docs, "history-docs")
     return endpoints.past_weather(docs, "doc", "day", F.lit("1999-12-31").cast("date"))
+
+
+@query("forecast", """
+select strftime(day, '%m/%d/%Y') as "Date", low as "Tmin", high as "Tmax",
+       cast(cast(floor((cast(low as bigint) + cast(high as bigint)) / 2.0) as bigint) as varchar) as "Tavg"
+from (select date '2024-02-26' + cast(n_nationkey as integer) as day, cast(n_nationkey as varchar) as low,
+             cast(n_nationkey + n_regionkey + 3 as varchar) as high
+      from nation where n_nationkey < 5)
+""")
+def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forecast document with an entry per nation; the next five days, today included."""
+    nation = table(spark, sf_dir, "nation")
+    entry = F.struct(
+        F.col("n_nationkey").cast("int").alias("at"),
+        F.col("n_nationkey").cast("string").alias("low"),
+        (F.col("n_nationkey") + F.col("n_regionkey") + 3).cast("string").alias("high"),
+    )
+    entries = nation.agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    nested = F.transform("e", lambda x: F.struct(x["low"].alias("low"), x["high"].alias("high"))).alias("forecast")
+    for name in ("item", "channel", "results", "query"):
+        nested = F.struct(nested).alias(name)
+    docs = materialize(entries.select(F.to_json(F.struct(nested)).alias("doc")), "forecast-doc")
+    return endpoints.forecast(docs, "doc", F.lit("2024-02-26").cast("date"))
+
+
+
+@query("weather_load", sql(f"""
+select strftime(date, '%-m/%-d/%y') as date_key,
+       cast(make_date(2000 + year(date) % 100, month(date), day(date)) as varchar) as day, {ROUNDED} from obs
+""", "obs"))
+def weather_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files read by their headers and stored one row per day: the later line of a day counts."""
+    obs = daily_obs(spark, sf_dir)
+    path = fresh_path(spark, "weather-csv")
+    for part, order in (("a", ["Station", *sorted(MEASURES, reverse=True), "Date"]), ("b", ["Date", *MEASURES, "Station"])):
+        cells = {m: F.lit(-1.0) if part == "a" else F.col(m) for m in MEASURES}
+        written = obs.select(
+            F.lit("S").alias("Station"), F.date_format("date", "M/d/yy").alias("Date"), *[c.cast("string").alias(m) for m, c in cells.items()]
+        )
+        written.select(*order).write.option("header", True).csv(f"{path}/{part}")
+    good, _ = etl.clean_weather(spark, [f"{path}/a", f"{path}/b"])
+    stored = etl.store_weather(spark, good, fresh_path(spark, "weather"))
+    return shown(stored.select("date_key", "day", *MEASURES))

@@ -29,12 +29,13 @@ select o_orderkey, o_custkey,
 from orders where o_orderpriority <> '5-LOW'
 """)
 def scan_csv_skip_long_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders landed as ragged lines: surplus, short, quoted and trailing-blank ones."""
+    """Orders landed as ragged lines: surplus (next or further on), short, quoted and trailing-blank ones."""
     orders = table(spark, sf_dir, "orders")
     prio, head = F.col("o_orderpriority"), F.concat_ws(",", "o_orderkey", "o_custkey")
     status = F.col("o_orderstatus")
     line = (
-        F.when(prio == "5-LOW", F.concat_ws(",", head, status, prio, F.lit("surplus")))
+        F.when((prio == "5-LOW") & (F.col("o_custkey") % 2 == 0), F.concat_ws(",", head, status, prio, F.lit("surplus")))
+        .when(prio == "5-LOW", F.concat_ws(",", head, status, prio, F.lit(""), F.lit("later")))
         .when(prio == "4-NOT SPECIFIED", head)
         .when(prio == "3-MEDIUM", F.concat(head, F.lit(","), status, F.lit(","), prio, F.lit(",")))
         .when(prio == "2-HIGH", F.concat(head, F.lit(',"'), status, F.lit(","), status, F.lit('",'), prio))

@@ -6,6 +6,7 @@ bad cell is seen by the cleaning step and not swallowed by the reader.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +16,18 @@ from pyspark.sql import types as T
 from daytally.names import qcol
 
 OVERFLOW = "_overflow"
+_RECORD = "_record"
 
 # Position of a row in its input, in the order the files were given.
 FILE_RANK = "_file_rank"
-FILE_NAME = "_file_name"
+FILE_PATH = "_file_path"
 BLOCK_START = "_block_start"
 ROW_IN_BLOCK = "_row_in_block"
-READ_ORDER = [FILE_RANK, FILE_NAME, BLOCK_START, ROW_IN_BLOCK]
+READ_ORDER = [FILE_RANK, FILE_PATH, BLOCK_START, ROW_IN_BLOCK]
+
+# One cell of a raw line, and what makes the cells past the header more than empty ones.
+_CELL = '(?:"(?:[^"]|"")*+"|[^,"]*+)'
+_FILLED = '[^,"]|(?:^|,)"(?!"(?:,|$))'
 
 # Cell texts that count as missing in the incident files.
 MISSING_TOKENS = [
@@ -45,13 +51,23 @@ def read_header_names(spark: SparkSession, paths, multi_line: bool = False) -> D
 
 
 def read_with_overflow(spark: SparkSession, paths, columns: list[str], multi_line: bool = False) -> DataFrame:
-    """Declared columns plus ``_overflow``, which holds the first surplus cell.
+    """Declared columns plus ``_overflow``, the surplus cells of a line if any of them holds something.
 
     Short lines are padded with null.  ``_overflow`` is null for lines of the
-    right length and for lines whose surplus cell is empty.
+    right length and for lines whose surplus cells are all empty.  The header
+    of every file must have these columns in this order; another header is an
+    error and never a silent mix-up (unless a header cell is empty: then names
+    cannot be checked).
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, OVERFLOW]])
-    return spark.read.options(**_options(multi_line), enforceSchema=True).schema(schema).csv(paths)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _RECORD]])
+    unnamed = any(re.fullmatch(r"_c\d+", c) for c in columns)  # names that the reader made up cannot be checked
+    options = {**_options(multi_line), "enforceSchema": unnamed, "columnNameOfCorruptRecord": _RECORD}
+    df = spark.read.options(**options).schema(schema).csv(paths)
+    # the raw line is only kept where the number of cells is wrong
+    surplus = F.regexp_extract(F.col(_RECORD), f"(?s)^(?:{_CELL},){{{len(columns)}}}(.*)$", 1)
+    # the reader counts the cells of a line only when all columns are asked for, hence the second test, which always holds
+    overflow = F.when(surplus.rlike(_FILLED) & (F.length(F.concat_ws("", *[qcol(c) for c in columns])) >= 0), surplus)
+    return df.withColumn(OVERFLOW, overflow).drop(_RECORD)
 
 
 def read_skip_long_rows(spark: SparkSession, paths, columns: list[str], multi_line: bool = False) -> DataFrame:
@@ -66,36 +82,46 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def _tag_position(df: DataFrame, rank: int) -> DataFrame:
-    """Add the file rank and name, the split's offset in the file and the row's place in the split.
+    """Add the file's rank and path, the split's offset in the file and the row's place in the split.
 
     ``monotonically_increasing_id`` only grows inside one task, which is all
-    that is needed below the split's offset.  The name only matters, and is
-    only carried, where a path holds several files.
+    that is needed below the split's offset.
     """
-    several = len(df.inputFiles()) > 1
     return df.select(
         "*",
         F.lit(rank).alias(FILE_RANK),
-        (F.col("_metadata.file_name") if several else F.lit(None).cast("string")).alias(FILE_NAME),
+        F.col("_metadata.file_path").alias(FILE_PATH),
         F.col("_metadata.file_block_start").alias(BLOCK_START),
         F.monotonically_increasing_id().alias(ROW_IN_BLOCK),
     )
 
 
+def _period_parts(spark: SparkSession, files: list[tuple[str, list[str]]], multi_line: bool) -> DataFrame:
+    """All rows of the files, long ones included, with their positions; columns matched by name."""
+    # Positions are taken before any filter so that they do not depend on it.
+    parts = [_tag_position(read_with_overflow(spark, path, columns, multi_line), rank) for rank, (path, columns) in enumerate(files)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def with_headers(spark: SparkSession, paths) -> list[tuple[str, list[str]]]:
+    """Each path with the column names of its own header."""
+    return [(p, header_columns(spark, p)) for p in ([paths] if isinstance(paths, str) else paths)]
+
+
 def read_period_files(spark: SparkSession, files: list[tuple[str, list[str]]], multi_line: bool = False) -> DataFrame:
-    """Several period files as one input, with each row's position in it.
+    """Several period files as one input, with each row's position in it; long lines are dropped.
 
     ``files`` lists ``(path, column names in that file's order)``; columns are
     matched by name.  Order by ``READ_ORDER`` to get the input order; a folder
-    of files counts in the order of their names.
+    of files, which must all have one header, counts in the order of their
+    paths.
     """
-    parts = []
-    for rank, (path, columns) in enumerate(files):
-        df = read_with_overflow(spark, path, columns, multi_line)
-        # Positions are taken before the filter so that they do not depend on it.
-        tagged = _tag_position(df, rank)
-        parts.append(tagged.filter(F.col(OVERFLOW).isNull()).drop(OVERFLOW))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _period_parts(spark, files, multi_line).filter(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
+
+
+def read_tagged_files(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
+    """Files read by their own headers, with positions and ``_overflow``; long lines are kept."""
+    return _period_parts(spark, with_headers(spark, paths), multi_line)
 
 
 def missing_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -18,9 +18,12 @@ def upsert(existing: DataFrame, updates: DataFrame, key: str, order: list[str])
 
     The last update of a key in ``order`` wins and replaces the whole record:
     columns it does not have become null, columns only it has are added.
+    ``order`` must be given, as nothing else says which update is the last.
     Updates without a key cannot be stored and are left out.  ``order`` columns
     that the stored table does not have are not stored.
     """
+    if not order:
+        raise ValueError("an order is needed: a key may repeat among the updates")
     latest = keep_last(updates.filter(qcol(key).isNotNull()), [key], order)
     latest = latest.select([qcol(c) for c in latest.columns if c in existing.columns or c not in order])
     untouched = existing.join(latest.select(qcol(key)), [key], "left_anti")

@@ -50,7 +50,8 @@ def differences(spark, con, key, fn, sql, sf_dir) -> str | None:
     got = rows_of(names, [tuple(r) for r in df.collect()])
     if sql is None:
         return None if got else "no rows"
-    cur = con.execute(sql)
+    con.execute(f"create or replace view twin as {sql}")  # a twin must work as a view
+    cur = con.execute("select * from twin")
     want_names = [d[0] for d in cur.description]
     if sorted(names) != sorted(want_names):
         return f"columns {sorted(names)} != {sorted(want_names)}"

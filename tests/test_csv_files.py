@@ -93,3 +93,25 @@ def test_a_folder_counts_in_the_order_of_its_file_names(spark, tmp_path):
     df = c.read_period_files(spark, [(str(folder), ["id", "kind"])])
     first = dedupe_keep_first(df, ["id"], c.READ_ORDER).select("id", "kind")
     assert sorted(tuple(r) for r in first.collect()) == [("1", "first"), ("2", "only")]
+
+
+def test_a_filled_cell_past_an_empty_surplus_cell_makes_a_line_long(spark, rows, tmp_path):
+    path = put(tmp_path / "l.csv", "a,b,c", "4,5,6,,x", "7,8,9,y", "1,2,3,,", '1,"2,2",3,""', '1,2,"3","z"', '1,2,3,","')
+    assert rows(c.read_skip_long_rows(spark, path, ["a", "b", "c"])) == [("1", "2", "3"), ("1", "2,2", "3")]
+
+
+def test_another_header_in_a_folder_is_an_error(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    put(folder / "a.csv", "x,y", "1,2")
+    put(folder / "b.csv", "y,x", "20,10")
+    with pytest.raises(Exception, match="(?i)header"):
+        c.read_period_files(spark, [(str(folder), ["x", "y"])]).collect()
+
+
+def test_files_of_one_name_in_two_folders_have_an_order(spark, rows, tmp_path):
+    for part in ("p=1", "p=2"):
+        (tmp_path / part).mkdir()
+        put(tmp_path / part / "f.csv", "id,kind", f"1,{part}")
+    df = c.read_period_files(spark, [(str(tmp_path), ["id", "kind"])])
+    assert rows(dedupe_keep_first(df, ["id"], c.READ_ORDER).select("id", "kind")) == [("1", "p=1")]

@@ -125,6 +125,40 @@ def test_weather_flow(weather):
     assert sorted(r.reason for r in rejects.collect()) == ["missing_marker", "surplus_cell"]
 
 
+def test_weather_goes_by_its_header_and_the_last_line_of_a_day_counts(spark, tmp_path):
+    path = tmp_path / "w.csv"
+    path.write_text("\n".join([
+        "Station,Date,Tmax,Tmin,Tavg,Depart,Heat,PrecipTotal",
+        "S,1/5/05,80,60,70,1,0,0.5",
+        "S,1/6/05,81,61,71,1,0,0.5",
+        "S,1/5/05,90,60,75,2,0,0.25",
+        "M,1/7/05,90,60,75,2,0,0.25",
+    ]) + "\n")
+    good, rejects = etl.clean_weather(spark, str(path))
+    got = {r.date_key: (r.Tmax, r.Tavg, r.Depart, r.PrecipTotal) for r in good.collect()}
+    assert got == {"1/5/05": (90.0, 75.0, 2.0, 0.25), "1/6/05": (81.0, 71.0, 1.0, 0.5)}
+    assert [r.reason for r in rejects.collect()] == ["missing_marker"]
+    first = etl.store_weather(spark, good, str(tmp_path / "v1"))
+    newer = good.filter("date_key = '1/6/05'").withColumn("Tmax", F.lit(1.0))
+    second = etl.store_weather(spark, newer, str(tmp_path / "v2"), str(tmp_path / "v1"))
+    assert first.count() == 2 and {r.date_key: r.Tmax for r in second.collect()} == {"1/5/05": 90.0, "1/6/05": 1.0}
+
+
+def test_weather_without_a_needed_column_is_an_error(spark, tmp_path):
+    path = tmp_path / "w.csv"
+    path.write_text("Date,Tmax\n1/5/05,80\n")
+    with pytest.raises(ValueError, match="PrecipTotal"):
+        etl.clean_weather(spark, str(path))
+
+
+def test_days_that_share_a_key(spark, incident_files, tmp_path):
+    wide, _ = etl.daily_tables(etl.clean_incidents(spark, incident_files))
+    one = wide.limit(1)
+    both = one.withColumn("date", F.lit("1905-01-05").cast("date")).withColumn(TOTAL, F.lit(99).cast("bigint")).unionByName(
+        one.withColumn("date", F.lit("2005-01-05").cast("date")).withColumn(TOTAL, F.lit(3).cast("bigint")))
+    assert [r[TOTAL] for r in etl.store_daily(spark, both, str(tmp_path / "s")).collect()] == [3]
+
+
 def test_endpoints(spark, incident_files, weather):
     wide, _ = etl.daily_tables(etl.clean_incidents(spark, incident_files))
     daily = weather[0].drop("Date").withColumnRenamed("day", "date")
