@@ -75,16 +75,17 @@ class Shard:
         at = lambda x: np.stack([np.searchsorted(s, q) for s, q in zip(self.sorted, x, strict=True)])
         return at(low), at(high)
 
-    def candidates(self, queries: np.ndarray, shares: tuple[float, ...]) -> Iterator[list[np.ndarray]]:
-        """For each query, its candidates (without repetition) at each share."""
+    def candidates(self, queries: np.ndarray, shares: tuple[float, ...], least: int) -> Iterator[list[np.ndarray]]:
+        """For each query, its candidates (without repetition) at each share, ``least`` at least where there are so many."""
         n, strings = len(self.vectors), self.strings(queries)
+        least = min(least, n)
         wanted = np.array(shares) * n
         begin = np.zeros((len(shares), *strings.shape), np.int64)
         end = np.full_like(begin, n)  # the root holds everything
         open_ = np.ones((len(shares), strings.shape[1]), bool)
         for level in range(BITS, -1, -1):
             low, high = self.intervals(strings, level)
-            enough = (high - low).sum(axis=0)[None, :] >= wanted[:, None]
+            enough = ((high - low).sum(axis=0)[None, :] >= wanted[:, None]) & ((high - low).max(axis=0) >= least)
             for k, stop in enumerate(open_ & enough):
                 begin[k][:, stop], end[k][:, stop] = low[:, stop], high[:, stop]
             open_ &= ~enough
@@ -147,7 +148,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SH
                 for start in range(0, len(right), QUERY_BLOCK):
                     block = right.iloc[start : start + QUERY_BLOCK]
                     asked_for = _matrix(block["embedding"])
-                    for q, found in zip(range(len(block)), here.candidates(asked_for, shares), strict=True):
+                    for q, found in zip(range(len(block)), here.candidates(asked_for, shares, k + 1), strict=True):
                         pool = np.arange(len(ids)) if exact else found[-1]
                         products = here.vectors[pool] @ asked_for[q]
                         if len(pool) > k + 1:
