@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from daytally.scratch import materialize
 
 DIMENSIONS = ("source", "lang", "topic")
-ROUNDS = 12
+ROUNDS = 10
 #: Default targets are the natural shares to this power, which lifts the small ones.
 TEMPER = 0.5
 #: Share of the tokens that the sample keeps.
@@ -84,12 +84,15 @@ def rake(table: DataFrame, targets: list[DataFrame], rounds: int = ROUNDS) -> Da
     """
     total = table.agg(F.sum("tokens").alias("s")).first().s or 1
     fitted = table.withColumn("weight", F.col("tokens") / F.lit(float(total)))
-    targets = [materialize(t, "targets") for t in targets]
+    for i, target in enumerate(targets):
+        named = target.select(F.col("key").alias(f"k{i}"), F.col("target").alias(f"t{i}"))
+        fitted = fitted.join(named, f"k{i}", "left").withColumn(f"t{i}", F.coalesce(f"t{i}", F.lit(0.0)))
+    fitted = materialize(fitted, "raked")
     for _ in range(rounds):
-        for i, target in enumerate(targets):
-            sums = fitted.groupBy(F.col(f"k{i}").alias("key")).agg(F.sum("weight").alias("now"))
-            factor = F.when(F.col("now") > 0, F.coalesce("target", F.lit(0.0)) / F.col("now")).otherwise(0.0)
-            factors = sums.join(target, "key", "left").select(F.col("key").alias(f"k{i}"), factor.alias("factor"))
+        for i in range(len(targets)):
+            sums = fitted.groupBy(f"k{i}", f"t{i}").agg(F.sum("weight").alias("now"))
+            factor = F.when(F.col("now") > 0, F.col(f"t{i}") / F.col("now")).otherwise(0.0)
+            factors = sums.select(f"k{i}", factor.alias("factor")).hint("merge")
             fitted = fitted.join(factors, f"k{i}").withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
         fitted = materialize(fitted, "raked")
     return fitted
@@ -107,24 +110,36 @@ def deviation(fitted: DataFrame, targets: list[DataFrame]) -> float:
 def _scale(fitted: DataFrame, budget: float) -> float | None:
     """s with sum of tokens * min(1, s * rate) equal to the budget, or None when all that have a weight are kept.
 
-    The sum is piecewise linear in s.  Each pass evaluates a grid of s in one
-    aggregate and goes on between two neighbours; the last piece is solved.
+    Cells are summed by bands of their rate, and the band in which 1 / s lies
+    is cut again, a few times; then the cells above it are kept whole and the
+    others take the rest.
     """
     rate = F.col("weight") / F.col("tokens")
-    used = fitted.where("tokens > 0 and weight > 0")
-    facts = used.agg(F.sum("tokens").alias("all"), F.min(rate).alias("low"), F.max(rate).alias("high")).first()
+    used = fitted.where("tokens > 0 and weight > 0").select("tokens", "weight", F.log2(rate).alias("x"))
+    facts = used.agg(F.sum("tokens").alias("all"), F.min("x").alias("low"), F.max("x").alias("high")).first()
     if facts.all is None or facts.all <= budget:
         return None
-    low, high = 0.0, 1 / facts.low
-    for _ in range(6):
-        grid = [low + (high - low) * i / 32 for i in range(33)]
-        sums = used.agg(*(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.lit(s) * rate)).alias(f"s{i}") for i, s in enumerate(grid))).first()
-        at = max(i for i in range(33) if i == 0 or sums[i] <= budget)
-        low, high = grid[at], grid[min(at + 1, 32)]
-    middle = (low + high) / 2
-    capped = F.lit(middle) * rate >= 1
-    parts = used.agg(F.sum(F.when(capped, F.col("tokens"))).alias("full"), F.sum(F.when(~capped, F.col("weight"))).alias("rest")).first()
-    return (budget - (parts.full or 0)) / parts.rest if parts.rest else middle
+    low, width, full, rest = facts.low, max((facts.high - facts.low) / 256, 1e-12), 0.0, 0.0
+    inside = used
+    for _ in range(4):
+        band = F.floor((F.col("x") - F.lit(low)) / F.lit(width)).cast("int")
+        inside = inside.withColumn("band", band)
+        sums = {r.band: (r.tokens, r.weight) for r in inside.groupBy("band").agg(F.sum("tokens").alias("tokens"), F.sum("weight").alias("weight")).collect()}
+        below, at = rest + sum(w for _, w in sums.values()), None
+        for b in sorted(sums, reverse=True):
+            # kept if everything from this band on is kept whole and the rest scaled by the band's lower edge
+            tokens, weight = sums[b]
+            if full + tokens + (below - weight) / 2 ** (low + b * width) >= budget:
+                at = b
+                break
+            full, below = full + tokens, below - weight
+        if at is None:
+            return (budget - full) / below if below > 0 else 2.0**-low
+        rest = below - sums[at][1]
+        inside = inside.where(F.col("band") == at).drop("band")
+        low, width = low + at * width, max(width / 256, 1e-15)
+    # cells of the last band have practically one rate, at which all of them are cut alike
+    return (budget - full) / (rest + sums[at][1])
 
 
 def chance(doc_id: Column, seed: str = SEED) -> Column:
