@@ -38,7 +38,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the final texts, with the digests of ids and decoded bytes."""
-    encoded = byte_bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN, with_ids=True)
+    encoded = byte_bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN, ("ids",))
     return encoded.select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 

@@ -147,7 +147,7 @@ def _is_text(piece: bytes) -> bool:
     return True
 
 
-def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, full: tuple[str, ...] = ()) -> DataFrame:
     """Token ids of every text and the text decoded from them, as digests and on request in full.
 
     One narrow pass: no shuffle, and a task holds one slice of texts and a
@@ -156,8 +156,8 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) ->
     null.  Other columns are ignored.  The vocabulary is read by the driver
     and sent to the tasks (its size is fixed by the vocabulary).
 
-    With ``with_ids`` the result also has ``ids`` (array of long) and
-    ``decoded`` (binary).
+    ``full`` may name ``ids`` (array of int) and ``decoded`` (binary), which
+    the result then has too.
     """
     spark = docs.sparkSession
     ranks = read_ranks(path)
@@ -167,19 +167,25 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) ->
         codec = Codec(*sent.value)
         for batch in slices(batches):
             rows: dict[str, list] = {"doc_id": batch.column(0).to_pylist(), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-            full: dict[str, list] = {"ids": [], "decoded": []}
+            more: dict[str, list] = {name: [] for name in full}
             for text in batch.column(1).to_pylist():
                 ids = codec.encode(text or "")
                 decoded = codec.decode(ids)
                 rows["n_tokens"].append(len(ids) // 4)
                 rows["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
                 rows["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
-                if with_ids:
-                    full["ids"].append([x for (x,) in struct.iter_unpack("<I", ids)])
-                    full["decoded"].append(decoded)
-            types = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids": pa.list_(pa.int64()), "decoded": pa.binary()}
-            made = rows | (full if with_ids else {})
-            yield pa.RecordBatch.from_arrays([pa.array(v, types.get(k, pa.string())) for k, v in made.items()], names=list(made))
-
-    schema = ENCODED + (", ids array<long>, decoded binary" if with_ids else "")
+                for name, value in (("ids", ids), ("decoded", decoded)):
+                    if name in more:
+                        more[name].append(value)
+            columns = [pa.array(v, pa.int64() if k in ("doc_id", "n_tokens") else pa.string()) for k, v in rows.items()]
+            for name, values in more.items():
+                if name == "ids":  # never as Python numbers
+                    ends = np.cumsum([0, *(len(v) // 4 for v in values)], dtype=np.int32)
+                    columns.append(pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(values), "<i4")))
+                else:
+                    columns.append(pa.array(values, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*rows, *more])
+
+    types = {"ids": "array<int>", "decoded": "binary"}
+    schema = ENCODED + "".join(f", {name} {types[name]}" for name in full)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

@@ -112,12 +112,12 @@ def test_fewer_candidates_than_wanted(spark):
 def test_byte_bpe_is_that_of_the_library(docs, texts):
     ranks = byte_bpe.read_ranks(queries.VOCABULARY)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    got = byte_bpe.encode(docs, queries.VOCABULARY, public_tokenizers.PATTERN, with_ids=True).collect()
+    got = byte_bpe.encode(docs, queries.VOCABULARY, public_tokenizers.PATTERN, ("ids", "decoded")).collect()
     want = []
     for i, t in texts:
         ids = library.encode_ordinary(t or "")
-        want.append((str(i), len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), (t or "").encode()))
-    assert sorted(want) == sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, bytes(r.decoded)) for r in got)
+        want.append((str(i), len(ids), ids, hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), (t or "").encode()))
+    assert sorted(want) == sorted((str(r.doc_id), r.n_tokens, r.ids, r.ids_sha256, bytes(r.decoded)) for r in got)
 
 
 # 3
