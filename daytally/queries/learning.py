@@ -224,10 +224,10 @@ def decision_tree_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("ml_chained_stages", sql("""
+@query("ml_pipeline", sql("""
 select cast(count(*) as bigint) as days, cast(3 as bigint) as stages, cast(0 as bigint) as differing from days
 """, "days"))
-def ml_chained_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ml_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invariant: the fitted chain predicts what its stages predict one after the other."""
     days = stored_day_frame(spark, sf_dir)
     model = regressors.fit(regressors.TREE, days)
