@@ -94,6 +94,14 @@ def predictions_by_model(models: dict[str, PipelineModel], days: DataFrame, day:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def predictions_beside(models: dict[str, PipelineModel], days: DataFrame, day: str = "date") -> DataFrame:
+    """``(day, actual, <one column per model>)``: each model adds its column to the same rows, so nothing is joined."""
+    rows = labelled(days)
+    for name, model in models.items():
+        rows = model.transform(rows).withColumnRenamed("prediction", name).drop("features", "indexedFeatures")
+    return rows.select(day, F.col("label").alias("actual"), *models)
+
+
 def leaderboard(days: DataFrame, day: str = "date", names: list[str] = MODELS) -> DataFrame:
     """``(model, split, days, rmse)``.
 

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from daytally.ml import clusters, features, regressors
 from daytally.names import qcol
-from daytally.operators.daily import TOTAL
-from daytally.operators.joins import align_series
 from daytally.operators.series import MEASURES
 from daytally.queries.base_sql import RIDGE_PREDICTION, ridge, sql
 from daytally.queries.registry import query, shown
@@ -179,21 +177,21 @@ def _tree_checks(spark: SparkSession, sf_dir: str, name: str, bounded: bool) ->
     """
     days = stored_day_frame(spark, sf_dir)
     model = regressors.fit(name, days)
-    shape = regressors.summary(spark, {name: model}).first()
+    ensemble = model.stages[-1]
+    num_trees, depth = ensemble.getNumTrees, max(t.depth for t in ensemble.trees)
     rows = _with_tree_sum(model, days)
-    trees = F.col("from_trees") / shape["num_trees"] if bounded else F.col("from_trees")
+    trees = F.col("from_trees") / num_trees if bounded else F.col("from_trees")
     off = F.abs(F.col("prediction") - trees) > CLOSE * (1 + F.abs(trees))
-    span = rows.agg(F.min("actual").alias("lo"), F.max("actual").alias("hi"), F.var_pop("actual").alias("var")).first()
-    outside = (F.col("prediction") < span["lo"]) | (F.col("prediction") > span["hi"])
+    outside = (F.min("prediction") < F.min("actual")) | (F.max("prediction") > F.max("actual"))
     error = (F.col("actual") - F.col("prediction")) * (F.col("actual") - F.col("prediction"))
     return rows.agg(
         F.count(F.lit(1)).alias("days"),
-        F.lit(shape["num_trees"]).cast("bigint").alias("num_trees"),
-        F.lit(int(shape["depth"] > 5)).cast("bigint").alias("too_deep"),
+        F.lit(num_trees).cast("bigint").alias("num_trees"),
+        F.lit(int(depth > 5)).cast("bigint").alias("too_deep"),
         F.count_if(F.col("prediction").isNull()).alias("without_prediction"),
         _count(off).alias("off_trees"),
-        _count(outside if bounded else F.lit(False)).alias("outside_range"),
-        (F.avg(error) > F.lit(span["var"])).cast("bigint").alias("worse_than_mean"),
+        (F.coalesce(outside, F.lit(True)) if bounded else F.lit(False)).cast("bigint").alias("outside_range"),
+        (F.avg(error) > F.var_pop("actual")).cast("bigint").alias("worse_than_mean"),
     )
 
 
@@ -295,8 +293,7 @@ from days, ridge
 def align_predictions_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actual values and four predictions side by side; the linear one is exact, the others must be there."""
     days = stored_day_frame(spark, sf_dir)
-    series = {n: regressors.predict(m, days) for n, m in regressors.fit_models(days).items()}
-    rows = align_series(days.select("date", qcol(TOTAL).cast("double").alias("actual")), series, "date", "prediction")
+    rows = regressors.predictions_beside(regressors.fit_models(days), days)
     trees = sum(qcol(n).isNotNull().cast("bigint") for n in regressors.MODELS if n != regressors.LINEAR)
     return shown(rows.select("date", "actual", regressors.LINEAR, trees.alias("tree_models")), DIGITS)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daytally.operators.cleaning import cast_record_types
 from daytally.queries.registry import query, shown
@@ -129,12 +130,13 @@ select event_id, user_id, event_type, round(value, 6) as value, cast(json_extrac
 from events
 """)
 def json_infer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events landed as one document per line; types inferred from the documents."""
+    """Events landed as one document per line and read by their known schema, in one pass."""
     events = table(spark, sf_dir, "events")
     doc = F.to_json(F.struct("event_id", "user_id", "event_type", "value", F.from_json("props", "k bigint").alias("props")))
     path = fresh_path(spark, "event-docs")
     events.select(doc.alias("value")).write.text(path)
-    rows = read_json_rows(spark, path)
+    schema = events.select("event_id", "user_id", "event_type", "value").schema.add("props", StructType().add("k", "long"))
+    rows = read_json_rows(spark, path, schema)
     return shown(rows.select("event_id", "user_id", "event_type", "value", F.col("props.k").alias("k")))
 
 

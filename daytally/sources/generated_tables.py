@@ -29,33 +29,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per incident, duplicates included.
+def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as incidents, before type and location are looked up."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("id"),
+        F.col("l_linenumber").alias("case_no"),
+        F.col("l_shipdate").alias("ts"),
+        F.year("l_shipdate").alias("yr"),
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+    )
+
+
+def _looked_up(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
+    """Type and location by part and supplier; every line item has both (foreign keys).
 
     Part and supplier grow with the data, so their joins are left to the
     optimizer; adaptive execution splits a part or supplier that holds a large
     share of the incidents.
     """
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias(TYPE))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    lines = table(spark, sf_dir, "lineitem")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias(LOCATION))
     # One lookup table at a time: each has a known file size to choose its join by.
     joined = (
-        lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        facts.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     )
-    return joined.select(
-        F.col("l_orderkey").alias("id"),
-        F.col("l_linenumber").alias("case_no"),
-        F.col("l_shipdate").alias("ts"),
-        F.year("l_shipdate").alias("yr"),
-        F.col("p_brand").alias(TYPE),
-        F.col("n_name").alias(LOCATION),
-        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-    )
+    return joined.select(*facts.columns, TYPE, LOCATION)
+
+
+def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per incident, duplicates included."""
+    return _looked_up(spark, sf_dir, _facts(spark, sf_dir))
 
 
 def kept_incidents(spark: SparkSession, sf_dir: str, last_year: int = LAST_YEAR) -> DataFrame:
@@ -65,11 +72,13 @@ def kept_incidents(spark: SparkSession, sf_dir: str, last_year: int = LAST_YEAR)
     off late rows cannot change which row is first among the rest; the cutoff
     therefore runs before the dedupe and reaches the file scan.  The part and
     the supplier decide type and location, so the columns after them in
-    ``FIRST_ORDER`` cannot matter here and are not read.
+    ``FIRST_ORDER`` cannot matter here and are not read, and the lookups come
+    after the dedupe: duplicates do not pass them, and the dedupe carries
+    three narrow columns.  An incident whose first line has no known part or
+    supplier is left out, also where a later line of its key has one.
     """
-    rows = incidents(spark, sf_dir).select(*KEYS, "ts", "l_partkey", "l_suppkey", TYPE, LOCATION)
-    rows = filter_day_upto(rows, "ts", last_year)
-    return dedupe_keep_first(rows, KEYS, ["ts", "l_partkey", "l_suppkey"])
+    facts = filter_day_upto(_facts(spark, sf_dir).select(*KEYS, "ts", "l_partkey", "l_suppkey"), "ts", last_year)
+    return _looked_up(spark, sf_dir, dedupe_keep_first(facts, KEYS, ["ts", "l_partkey", "l_suppkey"]))
 
 
 def incident_cube(spark: SparkSession, sf_dir: str, last_year: int = LAST_YEAR) -> DataFrame:

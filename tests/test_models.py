@@ -162,3 +162,14 @@ def test_series_rows(days):
     rows = clusters.cluster_series(clusters.scatter_points(assigned)).collect()
     assert len(rows) == 300 and {r.name for r in rows} == {"Cluster0", "Cluster1", "Cluster2"}
     assert [(r.name, r.date) for r in rows] == sorted((r.name, r.date) for r in rows)
+
+
+def test_predictions_beside_need_no_join(days):
+    models = regressors.fit_models(days, [regressors.LINEAR, regressors.TREE])
+    beside = regressors.predictions_beside(models, days)
+    assert beside.columns == ["date", "actual", regressors.LINEAR, regressors.TREE]
+    assert "Join" not in beside._jdf.queryExecution().executedPlan().toString()
+    for name, model in models.items():
+        alone = regressors.predict(model, days)
+        assert beside.select("date", "actual", name).exceptAll(alone).isEmpty()
+        assert alone.exceptAll(beside.select("date", "actual", name)).isEmpty()
