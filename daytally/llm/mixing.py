@@ -3,9 +3,13 @@
 Documents are summed to cells, one row for each source, language and topic
 that occurs, with its tokens.  Raking then scales the cells to the target
 marginals of one dimension after the other, round by round.  The fitted
-weights over the tokens give each cell's sampling rate, scaled so that the
-sample has the wanted size while no probability exceeds one; a document is
-drawn by a hash of its id.
+weights over the tokens give each cell's sampling rate; a document is drawn by
+a hash of its id.
+
+The targets fix the size of the sample: rates are scaled by the largest number
+at which no probability exceeds one, so the expected shares of the sample are
+the fitted ones.  A larger size can be asked for; then probabilities are cut
+at one, and cells that run out leave their targets to the others.
 
 Only DataFrame functions; documents are read twice and only their cells are
 shuffled, so a source with a third of all rows is one row per task.
@@ -20,7 +24,7 @@ DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 10
 #: Default targets are the natural shares to this power, which lifts the small ones.
 TEMPER = 0.5
-#: Share of the tokens that the sample keeps.
+#: Share of the tokens that a sample of a given size keeps.
 KEEP = 0.7
 SEED = "mix"
 
@@ -142,17 +146,25 @@ def _scale(fitted: DataFrame, budget: float) -> float | None:
     return (budget - full) / (rest + sums[at][1])
 
 
+def _largest(fitted: DataFrame) -> float | None:
+    """The largest s at which no s * rate exceeds one, or None when no cell has a weight."""
+    return fitted.where("tokens > 0 and weight > 0").agg(F.min(F.col("tokens") / F.col("weight")).alias("s")).first().s
+
+
 def chance(doc_id: Column, seed: str = SEED) -> Column:
     """A number from 0 to 1 (exclusive) that depends on the id only."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
 
 
-def mix(docs: DataFrame, shares: dict[str, dict] | None = None, keep: float = KEEP, rounds: int = ROUNDS) -> DataFrame:
+def mix(docs: DataFrame, shares: dict[str, dict] | None = None, keep: float | None = KEEP, rounds: int = ROUNDS) -> DataFrame:
     """Probability and decision for every document: ``doc_id``, the dimensions, ``tokens``, ``probability``, ``selected``.
 
     ``shares`` gives targets by dimension; a dimension that is not in it has
-    tempered ones.  Null values of a dimension are a value of their own.  A
+    tempered ones.  With ``keep`` None the sample is as large as the targets
+    allow, and its expected shares are the targets.  With a number it has that
+    share of the tokens, and a cell that would need more than it has is kept
+    whole: the shares then miss the targets by what it lacks.  Null values of a dimension are a value of their own.  A
     document without tokens has the probability of its cell, or 1 where the
     cell has no tokens at all.  Repeated rows are drawn together; other
     columns are ignored.
@@ -167,13 +179,15 @@ def mix(docs: DataFrame, shares: dict[str, dict] | None = None, keep: float = KE
     return _drawn(docs.select(*named), shares or {}, keep, rounds)
 
 
-def _drawn(rows: DataFrame, shares: dict[str, dict], keep: float, rounds: int) -> DataFrame:
+def _drawn(rows: DataFrame, shares: dict[str, dict], keep: float | None, rounds: int) -> DataFrame:
     rows = materialize(rows, "measured")
     table = materialize(cells(rows), "cells")
     targets = [given(table, i, shares[d]) if d in shares else tempered(table, i) for i, d in enumerate(DIMENSIONS)]
     fitted = rake(table, targets, rounds)
-    total = table.agg(F.sum("tokens").alias("s")).first().s or 0
-    scale = _scale(fitted, keep * total)
+    if keep is None:
+        scale = _largest(fitted)
+    else:
+        scale = _scale(fitted, keep * (table.agg(F.sum("tokens").alias("s")).first().s or 0))
     rate = F.col("weight") / F.col("tokens")
     probability = F.least(F.lit(1.0), F.lit(scale) * rate) if scale is not None else F.when(F.col("weight") > 0, 1.0).otherwise(0.0)
     chosen = fitted.select("k0", "k1", "k2", F.when(F.col("tokens") == 0, 1.0).otherwise(probability).alias("probability"))
@@ -182,7 +196,7 @@ def _drawn(rows: DataFrame, shares: dict[str, dict], keep: float, rounds: int) -
     return joined.select("doc_id", *DIMENSIONS, "tokens", "probability", (chance(F.col("doc_id")) < F.col("probability")).alias("selected"))
 
 
-def select(docs: DataFrame, shares: dict[str, dict] | None = None, keep: float = KEEP) -> DataFrame:
+def select(docs: DataFrame, shares: dict[str, dict] | None = None, keep: float | None = KEEP) -> DataFrame:
     """The documents, with all their columns, that are drawn."""
     drawn = mix(docs, shares, keep).where("selected").select("doc_id").distinct()
     name = "_drawn"

@@ -55,7 +55,7 @@ def op7_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir))
+    return mixing.mix(documents(spark, sf_dir), keep=None)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

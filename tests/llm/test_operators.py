@@ -357,6 +357,21 @@ def test_given_targets(spark):
     assert abs(by_source["a"] - 60) < 0.1 and abs(by_source["b"] - 60) < 0.1
 
 
+def test_sample_has_the_target_shares(spark):
+    got = queries.op8_raked_mixture(spark, "/root/testdata/sf0.1").collect()
+    _, targets = _plain_mix([(r.source, r.lang, r.topic, r.tokens) for r in got], mixing.KEEP, mixing.ROUNDS)
+    assert max(r.probability for r in got) <= 1
+    size = sum(r.tokens * r.probability for r in got)
+    assert size > 0.05 * sum(r.tokens for r in got)
+    for name, target in zip(mixing.DIMENSIONS, targets, strict=True):
+        for value, share in target.items():
+            mine = [r for r in got if r[name] == value]
+            assert abs(sum(r.tokens * r.probability for r in mine) / size - share) < 1e-6
+            drawn = sum(r.tokens for r in mine if r.selected)
+            noise = math.sqrt(sum(r.tokens**2 * r.probability * (1 - r.probability) for r in mine))
+            assert abs(drawn - share * size) < 4.5 * noise + 1e-6
+
+
 # 9
 
 
