@@ -6,7 +6,8 @@ strings.  A query descends in every tree to its longest matching prefix and
 then ascends in all trees at the same pace, one bit at a time: at each level
 the strings that share the prefix are one interval of the sorted array, found
 by binary search.  It stops as soon as the intervals hold a wanted share of
-the shard; their members are scored exactly.
+the shard, each entry counted once; their members are scored exactly.  A share
+of 1 is the whole shard.
 
 How much is wanted depends on the data: clustered vectors need a few
 candidates, vectors without structure a good part of the shard.  So the share
@@ -78,26 +79,21 @@ class Shard:
     def candidates(self, queries: np.ndarray, shares: tuple[float, ...], least: int) -> Iterator[list[np.ndarray]]:
         """For each query, its candidates (without repetition) at each share, ``least`` at least where there are so many."""
         n, strings = len(self.vectors), self.strings(queries)
-        least = min(least, n)
-        wanted = np.array(shares) * n
-        begin = np.zeros((len(shares), *strings.shape), np.int64)
-        end = np.full_like(begin, n)  # the root holds everything
-        open_ = np.ones((len(shares), strings.shape[1]), bool)
-        for level in range(BITS, -1, -1):
-            low, high = self.intervals(strings, level)
-            enough = ((high - low).sum(axis=0)[None, :] >= wanted[:, None]) & ((high - low).max(axis=0) >= least)
-            for k, stop in enumerate(open_ & enough):
-                begin[k][:, stop], end[k][:, stop] = low[:, stop], high[:, stop]
-            open_ &= ~enough
-            if not open_.any():
-                break
-        trees = range(len(self.order))
+        bounds = np.array([self.intervals(strings, level) for level in range(BITS, -1, -1)])
+        sums = (bounds[:, 1] - bounds[:, 0]).sum(axis=1)
         for q in range(len(queries)):
-            found = []
-            for k in range(len(shares)):
-                mark = np.zeros(n, bool)
-                for t in trees:
-                    mark[self.order[t, begin[k, t, q] : end[k, t, q]]] = True
+            found, mark, count, at = [], np.zeros(n, bool), 0, -1
+            for share in shares:
+                wanted = max(share * n, min(least, n))
+                while count < wanted:
+                    # trees share entries, so the intervals hold as many as are wanted, or the ascent goes on; the root holds everything
+                    at = max(at + 1, int(np.argmax(sums[:, q] >= wanted)))
+                    if wanted >= n or at == BITS:
+                        mark[:] = True
+                    else:
+                        for t, order in enumerate(self.order):
+                            mark[order[bounds[at, 0, t, q] : bounds[at, 1, t, q]]] = True
+                    count = np.count_nonzero(mark)
                 found.append(np.flatnonzero(mark))
             yield found
 
@@ -150,7 +146,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SH
                     asked_for = _matrix(block["embedding"])
                     for q, found in zip(range(len(block)), here.candidates(asked_for, shares, k + 1), strict=True):
                         pool = np.arange(len(ids)) if exact else found[-1]
-                        products = here.vectors[pool] @ asked_for[q]
+                        products = (here.vectors if len(pool) == len(ids) else here.vectors[pool]) @ asked_for[q]
                         if len(pool) > k + 1:
                             least = np.partition(products, len(pool) - k - 1)[len(pool) - k - 1]
                             use = products >= least
@@ -159,7 +155,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SH
                         out["query"].append(np.full(len(best), block["query"].iloc[q]))
                         out["entry"].append(ids[pool[best]])
                         out["score"].append(products[best])
-                        first = np.ones(len(best))
+                        first = np.full(len(best), np.inf)
                         for share, candidates in reversed(list(zip(shares, found, strict=True))):
                             first[np.isin(pool[best], candidates)] = share
                         out["share"].append(first)

@@ -106,6 +106,26 @@ def test_fewer_candidates_than_wanted(spark):
     assert [(r.vec_id, r.score) for r in got] == [(2, 1.0), (1, 0.0)]
 
 
+def test_the_last_share_is_the_whole_shard():
+    x = np.random.default_rng(5).standard_normal((3000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    shard = lsh_forest.Shard(x, lsh_forest.planes(65), 1.0)
+    for found in shard.candidates(x[:20], lsh_forest.SHARES, 21):
+        assert all(len(f) >= s * 3000 for f, s in zip(found, lsh_forest.SHARES, strict=True))
+        assert all(np.isin(a, b).all() for a, b in zip(found, found[1:], strict=False))
+
+
+def test_vectors_without_structure_reach_the_recall(spark):
+    x = np.random.default_rng(6).standard_normal((4000, 384))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = lsh_forest.nearest(vectors, vectors.where("vec_id % 20 = 0")).collect()
+    products = x[::20] @ x.T
+    products[np.arange(200), np.arange(0, 4000, 20)] = -2
+    want = {(int(q) * 20, int(i)) for q, best in enumerate(np.argsort(-products, axis=1)[:, :20]) for i in best}
+    assert len(want & {(r.query_id, r.vec_id) for r in got}) >= 0.96 * len(want)
+
+
 # 2
 
 
