@@ -1,9 +1,10 @@
 """Personal data: fixed patterns, and bootstrapped extraction by context.
 
 The fixed patterns find emails, IP addresses, card and phone numbers with
-their places.  They are the seed entities of a bootstrap: the words before an
-identifier-like token (one with a digit or an @) are a lexical pattern, and
-patterns and tokens form a graph.  A pattern is as good as its instances are
+their places.  They are the seed entities of a bootstrap: the two words before
+an identifier-like token (one with a digit or an @) are a lexical pattern, in
+which another such token stands as a placeholder, and so does the start of the
+text.  Patterns and tokens form a graph.  A pattern is as good as its instances are
 known to be personal, a token as good as the patterns that hold it; both are
 scored in turn for a few rounds.  Patterns of high confidence then give every
 token that they hold, also of kinds that no fixed pattern knows.
@@ -37,7 +38,11 @@ CANDIDATE = r"(?<!\S)(?=\S*?[0-9@])\S++"
 #: Tokens that are seeds beside the fixed patterns: long keys in hexadecimal.
 KEY = r"^\W*[0-9a-f]{32,}\W*$"
 #: Words before a token that make the pattern.
-WORDS_BEFORE = r"(\S{1,32}\s+\S{1,32})\s+$"
+WORDS_BEFORE = r"(?<!\S)(\S++\s++\S++)\s++\z"
+#: In patterns, an identifier-like token and the start of the text; no word looks like them, as each would be a token itself.
+IDENTIFIER, START = "@", "0"
+#: Longer patterns go by their digest.
+LONG_PATTERN = 128
 
 ROUNDS = 3
 #: Different tokens that a pattern must hold, and the confidence it must reach.
@@ -138,9 +143,24 @@ def _scan(docs: DataFrame) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     base = named.select("doc_id", "text", F.xxhash64("text").alias("digest"), F.concat(*(spans_of(F.col("text"), k) for k in KINDS)).alias("base"))
 
-    def candidate(m: Column) -> Column:
+    def continued(m: Column) -> Column:
+        return F.exists("base", lambda s: (s["start"] < m["start"]) & (s["end"] > m["start"]))
+
+    def pattern(ms: Column, i: Column) -> Column:
+        """The two words before; where fewer are left since the token before, that token and what is before it count."""
+        before = F.get(ms, i)["before"]
+        lead = F.when(i < 2, f"{START} {START} ").otherwise(f"{IDENTIFIER} ")
+        earlier = F.when(i == 0, "").otherwise(F.concat(F.get(ms, i - 1)["before"], F.lit(IDENTIFIER)))
+
+        def shown(own: Column) -> Column:
+            words = F.when(own != "", own).otherwise(F.regexp_extract(F.concat(lead, earlier, before), WORDS_BEFORE, 1))
+            return let(F.lower(words), lambda w: F.when(F.length(w) > LONG_PATTERN, F.md5(w.cast("binary"))).otherwise(w))
+
+        return let(F.regexp_extract(before, WORDS_BEFORE, 1), shown)
+
+    def candidate(ms: Column, m: Column, i: Column) -> Column:
         return F.struct(
-            F.lower(F.regexp_extract(F.right(m["before"], F.lit(80)), WORDS_BEFORE, 1)).alias("pattern"),
+            F.when(continued(m), "").otherwise(pattern(ms, i)).alias("pattern"),  # the rest of an identifier tells nothing by itself
             F.lower(m["match"]).alias("token"),
             m["start"].alias("start"),
             m["end"].alias("end"),
@@ -149,7 +169,7 @@ def _scan(docs: DataFrame) -> DataFrame:
     def known(m: Column) -> Column:
         return F.exists("base", lambda s: (s["start"] < m["end"]) & (s["end"] > m["start"]))
 
-    found = let(matches(F.col("text"), CANDIDATE), lambda ms: F.transform(ms, lambda m: F.struct(candidate(m).alias("c"), known(m).alias("seed"))))
+    found = let(matches(F.col("text"), CANDIDATE), lambda ms: F.transform(ms, lambda m, i: F.struct(candidate(ms, m, i).alias("c"), known(m).alias("seed"))))
     held = F.when(F.col("text").rlike("[0-9@]"), found)
     return base.select(F.monotonically_increasing_id().alias("key"), "doc_id", "digest", "base", held.alias("held"))
 

@@ -186,6 +186,22 @@ def test_context_finds_identifiers_that_no_pattern_knows(spark):
         assert got[i] == f"{kind}:{start}:{t.index(' today')}"
 
 
+@pytest.mark.parametrize("lead", ["", "user {i} pin ", "12 {i} ", "please write to " + "x" * 40 + " ", "write " + "y" * 200 + " to "])
+def test_context_reaches_every_place_of_a_record(spark, lead):
+    rows = [(i, lead.format(i=i) + ("u%d@x.org" if i % 10 else "u%d(at)x.org") % i + " today") for i in range(100)]
+    got = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        place = f"{t.index(f'u{i}' + ('@' if i % 10 else '('))}:{t.index(' today')}"
+        assert got[i] == f"{'email' if i % 10 else 'context'}:{place}"
+
+
+def test_words_of_a_list_are_those_really_before(spark):
+    rows = [(1, "4711 pin 0815 iban DE89 a@b.cc"), (2, "call +49 123 456 7890 now 5")]
+    scanned = pii._scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: [h.c.pattern for h in r.held] for r in scanned.collect()}
+    assert got == {1: ["0 0", "@ pin", "@ iban", "iban @"], 2: ["0 call", "", "", "", "@ now"]}
+
+
 def test_redaction_keeps_columns_and_rows(spark):
     rows = [(1, "call +4912345678901 or a@b.cc", 3), (None, None, 4), (2, "nothing", 7), (2, "nothing", 7)]
     got = pii.redact(spark.createDataFrame(rows, "doc_id int, text string, n_chars int"))
