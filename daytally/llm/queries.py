@@ -4,11 +4,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import brown, byte_bpe, lsh_forest, minhash, mixing, pii, ratings, simhash, suffixes, toxicity
+from daytally.llm import brown, byte_bpe, lsh_forest, minhash, mixing, pii, prefix_table, ratings, shallot, simhash, suffixes, toxicity
 from daytally.llm.words import crc_of_id, documents
 
 #: A byte-level vocabulary; its place is a parameter of the operator.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: A sentencepiece model, likewise.
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +68,14 @@ def op10_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_edits(documents(spark, sf_dir))
 
 
+def op11_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_prefix_table_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_table.encode(documents(spark, sf_dir), MODEL)
+
+
 QUERIES = {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
 
 ORACLE: dict[str, str] = {}
