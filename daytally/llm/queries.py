@@ -4,11 +4,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.llm import brown, byte_bpe, lsh_forest, minhash, mixing, pii, prefix_table, ratings, shallot, simhash, suffixes, toxicity
+from daytally.llm import brown, byte_bpe, galloping, lsh_forest, minhash, mixing, pii, prefix_table, ratings, shallot, simhash, suffixes, toxicity
 from daytally.llm.words import crc_of_id, documents
 
 #: A byte-level vocabulary; its place is a parameter of the operator.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: The same vocabulary as a tokenizer file.
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 #: A sentencepiece model, likewise.
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -72,6 +74,10 @@ def op11_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shallot.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return galloping.alignment(documents(spark, sf_dir), BYTE_LEVEL, public_tokenizers.PATTERN, MODEL)
+
+
 def op13_prefix_table_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_table.encode(documents(spark, sf_dir), MODEL)
 
