@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.functions.days import format_day_key, normalize_day_key, parse_day_key, parse_ts_12h
@@ -20,7 +20,7 @@ from daytally.sources.csv_files import (
     read_period_files,
     read_tagged_files,
 )
-from daytally.sources.keyed_table import read_table, upsert_to, write_table
+from daytally.sources.keyed_table import read_table, upsert_parts, upsert_to, write_parts, write_table
 
 # Columns of the raw files that the flows use.
 INCIDENT_KEY = ["ID", "Case Number"]
@@ -30,9 +30,11 @@ LAST_YEAR = 2014
 WEATHER_CELLS = ["Date", *MEASURES]
 
 
-def clean_incidents(spark: SparkSession, files: list[tuple[str, list[str]]], last_year: int = LAST_YEAR) -> DataFrame:
+def clean_incidents(spark: SparkSession, files: list, last_year: int = LAST_YEAR) -> DataFrame:
     """Union, dedupe in file order, year cutoff, timestamp.
 
+    ``files`` lists paths, whose files go by their own headers, or pairs of
+    path and column names.
     Only the six columns that the day tables need are parsed and shuffled; the
     other columns of the files are never selected.
     """
@@ -80,6 +82,29 @@ def store_daily(spark: SparkSession, wide: DataFrame, new_path: str, existing_pa
     return upsert_to(spark, existing_path, records, "Date", ["_day"], new_path)
 
 
+def month_of_key(key: str) -> Column:
+    """Month of a text day key (``mm/dd/yy``), the part it is stored in."""
+    return F.concat(F.substring(qcol(key), 7, 2), F.lit("-"), F.substring(qcol(key), 1, 2))
+
+
+def update_daily(spark: SparkSession, wide: DataFrame, path: str, new: bool = False) -> DataFrame:
+    """Put the wide records into the table in months at ``path``, or start it; only months with new days are written."""
+    rest = [qcol(c) for c in wide.columns if c != DAY]
+    records = wide.select(format_day_key(F.col(DAY)).alias("Date"), F.col(DAY).alias("_day"), *rest)
+    if new:
+        write_parts(keep_last(records, ["Date"], ["_day"]).drop("_day"), path, "Date", month_of_key("Date"))
+        return read_table(spark, path)
+    return upsert_parts(spark, path, records, "Date", ["_day"], month_of_key("Date"))
+
+
+def update_weather(spark: SparkSession, good: DataFrame, path: str, new: bool = False) -> DataFrame:
+    """Put the good days into the table in months at ``path``, or start it; only months with new days are written."""
+    if new:
+        write_parts(good, path, "date_key", month_of_key("date_key"))
+        return read_table(spark, path)
+    return upsert_parts(spark, path, good, "date_key", ["day"], month_of_key("date_key"))
+
+
 def clean_weather(spark: SparkSession, paths, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Typed good days, one row each, and raw rejects of the weather files.
 

@@ -9,10 +9,10 @@ from pyspark.sql.types import StructType
 from daytally.operators.cleaning import cast_record_types
 from daytally.queries.registry import query, shown
 from daytally.scratch import fresh_path, materialize
-from daytally.sources.csv_files import provenance, read_header_names, read_skip_long_rows
+from daytally.sources.csv_files import read_header_names, read_skip_long_rows
 from daytally.sources.generated_tables import table
 from daytally.sources.json_docs import forecast_days, history_days, read_json_rows
-from daytally.sources.keyed_table import read_table, upsert_to, write_table
+from daytally.sources.keyed_table import PART, read_table, upsert_parts, write_parts, write_ranges
 
 
 def write_lines(df: DataFrame, line: Column, header: str, path: str) -> None:
@@ -53,24 +53,28 @@ def scan_csv_skip_long_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 select case when year(o_orderdate) <= 1996 then 'early' when year(o_orderdate) <= 1998 then 'middle' else 'late' end as period,
        cast(count(*) as bigint) as rows,
        cast(sum(o_custkey) as bigint) as custkeys,
-       min(o_orderkey) as first_key, max(o_orderkey) as last_key
+       min(o_orderkey) as first_key, max(o_orderkey) as last_key,
+       cast(coalesce(sum(case when year(o_orderdate) > 1998 and o_orderstatus = 'O' then 1 end), 0) as bigint) as known_open
 from orders group by 1
 """)
 def scan_csv_multi_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders landed in three period folders and read as one input."""
+    """Orders landed in three period folders, each with its own order of columns and the last with one more, read as one input."""
     year = F.year("o_orderdate")
     period = F.when(year <= 1996, "early").when(year <= 1998, "middle").otherwise("late")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", period.alias("period"))
+    orders = table(spark, sf_dir, "orders")
     base = fresh_path(spark, "period-csv")
-    orders.write.partitionBy("period").option("header", True).csv(base)
-    paths = [f"{base}/period={p}" for p in ("early", "middle", "late")]
-    rows = read_header_names(spark, paths).select("*", F.regexp_extract(provenance(), "period=([a-z]+)/", 1).alias("period"))
+    landed = {"early": ["o_orderkey", "o_custkey"], "middle": ["o_custkey", "o_orderkey"], "late": ["o_orderstatus", "o_custkey", "o_orderkey"]}
+    for name, columns in landed.items():
+        orders.filter(period == name).select(columns).write.option("header", True).csv(f"{base}/period={name}")
+    rows = read_header_names(spark, [f"{base}/period={name}" for name in landed], source="file")
+    rows = rows.withColumn("period", F.regexp_extract("file", "period=([a-z]+)/", 1))
     typed = cast_record_types(rows, {"o_orderkey": "bigint", "o_custkey": "bigint"})
     return typed.groupBy("period").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("o_custkey").alias("custkeys"),
         F.min("o_orderkey").alias("first_key"),
         F.max("o_orderkey").alias("last_key"),
+        F.count_if(F.col("o_orderstatus") == "O").alias("known_open"),
     )
 
 
@@ -92,8 +96,10 @@ select o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) as o_totalpr
 from orders
 """)
 def scan_keyed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of a stored table."""
-    return shown(read_table(spark, f"{sf_dir}/orders.parquet"))
+    """Every row of a table stored by key."""
+    path = fresh_path(spark, "by-key")
+    write_ranges(table(spark, sf_dir, "orders"), path, ["o_orderkey"])
+    return shown(read_table(spark, path))
 
 
 _DAY_ORDERS = """
@@ -112,17 +118,17 @@ union all
 select cast(day as varchar), seq, custkey, 'update' from upd
 """)
 def sink_upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored daily table, overwritten by the last open order of each day that has one."""
+    """A daily table stored by month, its days replaced by the last open order of each day that has one."""
     orders = table(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
     stored = orders.filter("o_orderstatus <> 'O'").groupBy("day").agg(
         F.max("o_orderkey").alias("seq"), F.count(F.lit(1)).alias("rows"), F.lit("stored").alias("origin")
     )
-    path = fresh_path(spark, "stored")
-    write_table(stored, path)
+    path, month = fresh_path(spark, "stored"), F.date_format("day", "yyyy-MM")
+    write_parts(stored, path, "day", month)
     updates = orders.filter("o_orderstatus = 'O'").select(
         "day", F.col("o_orderkey").alias("seq"), F.col("o_custkey").alias("rows"), F.lit("update").alias("origin")
     )
-    return shown(upsert_to(spark, path, updates, "day", ["seq"], fresh_path(spark, "upserted")))
+    return shown(upsert_parts(spark, path, updates, "day", ["seq"], month).drop(PART))
 
 
 @query("json_infer_rows", """

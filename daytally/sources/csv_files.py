@@ -7,7 +7,9 @@ bad cell is seen by the cleaning step and not swallowed by the reader.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,13 +43,62 @@ def _options(multi_line: bool) -> dict:
     return {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "mode": "PERMISSIVE"}
 
 
-def read_header_names(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
-    """Field names from the header line, all columns text, blanks null.
+def first_lines(spark: SparkSession, paths) -> list[tuple[str, int, str]]:
+    """Path, place among ``paths`` and first line of each file, in the order of ``paths`` and then of the files' paths.
 
+    One job with one task for each file, which reads the head of its file and
+    no more.  The driver holds one line per file, beside the list of files that
+    it has anyway.  Files without a line that holds something are left out.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    session = spark.newSession()  # its settings put every file into a partition of its own
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        session.conf.set(f"spark.sql.files.{name}", str(1 << 50))
+
+    def head(rows: Iterator) -> Iterator:
+        return ((r[0], r[1]) for r in [next((r for r in rows if r[1].strip("\ufeff \t\r")), None)] if r)
+
+    lines = session.read.text(paths).select("_metadata.file_path", "value").rdd.mapPartitions(head).collect()
+    # the same file may be written with one slash or three after its scheme
+    place = {}
+    for i, path in enumerate(paths if len(paths) > 1 else []):
+        for file in session.read.text(path).inputFiles():
+            place.setdefault(file.replace(":///", ":/"), i)
+    return sorted(((file, place.get(file.replace(":///", ":/"), 0), line) for file, line in lines), key=lambda x: (x[1], x[0]))
+
+
+def _as_path(file: str) -> str:
+    """A listed file as a path to read: plain characters, and none that would be taken for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+
+
+def by_header(spark: SparkSession, paths) -> list[tuple[list[str], list[tuple[str, int]]]]:
+    """The files behind ``paths`` grouped by their header line: column names, and the files with their places."""
+    groups: dict[str, list[tuple[str, int]]] = {}
+    for file, place, line in first_lines(spark, paths):
+        groups.setdefault(line.strip("\ufeff\r"), []).append((file, place))
+    return [(header_columns(spark, _as_path(files[0][0])), files) for files in groups.values()]
+
+
+def _by_name(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_header_names(spark: SparkSession, paths, multi_line: bool = False, source: str | None = None) -> DataFrame:
+    """Field names from the header lines, all columns text, blanks null.
+
+    Every file goes by its own header, whatever the order of its columns; a
+    column that a file does not have is null in its rows.  Files of one header
+    are one read.  ``source`` names a column for the path of each row's file.
     ``multi_line`` allows line breaks inside quoted cells; such files cannot be
     split between tasks, so it is off by default.
     """
-    return spark.read.options(**_options(multi_line)).csv(paths)
+    parts = []
+    for columns, files in by_header(spark, paths):
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        part = spark.read.options(**_options(multi_line)).schema(schema).csv([_as_path(f) for f, _ in files])
+        parts.append(part.select("*", F.col("_metadata.file_path").alias(source)) if source else part)
+    return _by_name(parts) if parts else spark.createDataFrame([], T.StructType([T.StructField(source, T.StringType())] if source else []))
 
 
 def read_with_overflow(spark: SparkSession, paths, columns: list[str], multi_line: bool = False) -> DataFrame:
@@ -65,8 +116,10 @@ def read_with_overflow(spark: SparkSession, paths, columns: list[str], multi_lin
     df = spark.read.options(**options).schema(schema).csv(paths)
     # the raw line is only kept where the number of cells is wrong
     surplus = F.regexp_extract(F.col(_RECORD), f"(?s)^(?:{_CELL},){{{len(columns)}}}(.*)$", 1)
-    # the reader counts the cells of a line only when all columns are asked for, hence the second test, which always holds
-    overflow = F.when(surplus.rlike(_FILLED) & (F.length(F.concat_ws("", *[qcol(c) for c in columns])) >= 0), surplus)
+    # the reader counts the cells of a line only when all columns are asked for, hence the second test, which always
+    # holds; only lines that pass the first one come to it
+    asked = F.length(F.concat_ws("", *[qcol(c) for c in columns])) >= 0
+    overflow = F.when(F.coalesce(surplus.rlike(_FILLED), F.lit(False)) & asked, surplus)
     return df.withColumn(OVERFLOW, overflow).drop(_RECORD)
 
 
@@ -78,50 +131,55 @@ def read_skip_long_rows(spark: SparkSession, paths, columns: list[str], multi_li
 
 def header_columns(spark: SparkSession, path: str) -> list[str]:
     """Column names of one file, in its order."""
-    return read_header_names(spark, path).columns
+    return spark.read.options(**_options(False)).csv(path).columns
 
 
-def _tag_position(df: DataFrame, rank: int) -> DataFrame:
-    """Add the file's rank and path, the split's offset in the file and the row's place in the split.
+def _tag_position(df: DataFrame) -> DataFrame:
+    """Add the file's path, the split's offset in the file and the row's place in the split.
 
     ``monotonically_increasing_id`` only grows inside one task, which is all
     that is needed below the split's offset.
     """
     return df.select(
         "*",
-        F.lit(rank).alias(FILE_RANK),
         F.col("_metadata.file_path").alias(FILE_PATH),
         F.col("_metadata.file_block_start").alias(BLOCK_START),
         F.monotonically_increasing_id().alias(ROW_IN_BLOCK),
     )
 
 
-def _period_parts(spark: SparkSession, files: list[tuple[str, list[str]]], multi_line: bool) -> DataFrame:
-    """All rows of the files, long ones included, with their positions; columns matched by name."""
-    # Positions are taken before any filter so that they do not depend on it.
-    parts = [_tag_position(read_with_overflow(spark, path, columns, multi_line), rank) for rank, (path, columns) in enumerate(files)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def with_headers(spark: SparkSession, paths) -> list[tuple[str, list[str]]]:
-    """Each path with the column names of its own header."""
-    return [(p, header_columns(spark, p)) for p in ([paths] if isinstance(paths, str) else paths)]
-
+def read_tagged_files(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
+    """Files read by their own headers, with positions and ``_overflow``; long lines are kept.
 
-def read_period_files(spark: SparkSession, files: list[tuple[str, list[str]]], multi_line: bool = False) -> DataFrame:
+    There is one read for each distinct header, whatever the number of files.
+    """
+    # Positions are taken before any filter so that they do not depend on it.
+    groups = by_header(spark, paths)
+    if not groups:
+        raise ValueError(f"no file behind {paths} has a header")
+    parts = [_tag_position(read_with_overflow(spark, [_as_path(f) for f, _ in files], columns, multi_line)) for columns, files in groups]
+    rows, places = _by_name(parts), [x for _, files in groups for x in files]
+    if len({place for _, place in places}) == 1:
+        return rows.withColumn(FILE_RANK, F.lit(places[0][1]))
+    # one row per file; the optimizer sees its size
+    return rows.join(spark.createDataFrame(places, f"{FILE_PATH} string, {FILE_RANK} int"), FILE_PATH)
+
+
+def read_period_files(spark: SparkSession, files: list, multi_line: bool = False) -> DataFrame:
     """Several period files as one input, with each row's position in it; long lines are dropped.
 
-    ``files`` lists ``(path, column names in that file's order)``; columns are
-    matched by name.  Order by ``READ_ORDER`` to get the input order; a folder
-    of files, which must all have one header, counts in the order of their
-    paths.
+    ``files`` lists paths, each file going by its own header, or pairs ``(path,
+    column names in that file's order)``; columns are matched by name.  Order
+    by ``READ_ORDER`` to get the input order; a folder of files counts in the
+    order of their paths, and all files behind the path of a pair must have
+    its columns.
     """
-    return _period_parts(spark, files, multi_line).filter(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
-
-
-def read_tagged_files(spark: SparkSession, paths, multi_line: bool = False) -> DataFrame:
-    """Files read by their own headers, with positions and ``_overflow``; long lines are kept."""
-    return _period_parts(spark, with_headers(spark, paths), multi_line)
+    if all(isinstance(f, str) for f in files):
+        rows = read_tagged_files(spark, files, multi_line)
+    else:
+        tagged = [_tag_position(read_with_overflow(spark, path, columns, multi_line)) for path, columns in files]
+        rows = _by_name([part.withColumn(FILE_RANK, F.lit(rank)) for rank, part in enumerate(tagged)])
+    return rows.filter(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
 
 
 def missing_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

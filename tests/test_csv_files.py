@@ -100,7 +100,71 @@ def test_a_filled_cell_past_an_empty_surplus_cell_makes_a_line_long(spark, rows,
     assert rows(c.read_skip_long_rows(spark, path, ["a", "b", "c"])) == [("1", "2", "3"), ("1", "2,2", "3")]
 
 
-def test_another_header_in_a_folder_is_an_error(spark, tmp_path):
+def test_headers_of_any_order_behind_one_path(spark, rows, tmp_path):
+    """Column order, an extra column, odd file names, blank first lines and files without a line."""
+    folder = tmp_path / "mixed [1] files"
+    folder.mkdir()
+    put(folder / "a.csv", "x,y", "1,2")
+    put(folder / "b%41 c.csv", "y,x", "20,10")
+    put(folder / "c{d}.csv", "", "y,x", "200,100")
+    put(folder / "d.csv", "z,x", "7,8", "9,")
+    (folder / "e.csv").write_text("")
+    path = str(tmp_path / "mixed*")
+    assert rows(c.read_header_names(spark, path).select("x", "y", "z")) == [(None, None, "9"), ("1", "2", None), ("10", "20", None), ("100", "200", None), ("8", None, "7")]
+    tagged = c.read_period_files(spark, [path])
+    assert [tuple(r) for r in tagged.orderBy(*c.READ_ORDER).select("x", "y", "z").collect()] == [
+        ("1", "2", None), ("10", "20", None), ("100", "200", None), ("8", None, "7"), (None, None, "9"),
+    ]
+
+
+def test_one_read_for_each_distinct_header(spark, tmp_path):
+    for i in range(12):
+        put(tmp_path / f"{i:02d}.csv", "a,b" if i % 2 else "b,a", f"{i},{i + 100}")
+    groups = c.by_header(spark, str(tmp_path))
+    assert [(columns, len(files)) for columns, files in groups] == [(["b", "a"], 6), (["a", "b"], 6)]
+    plan = c.read_tagged_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2
+
+
+def test_paths_count_in_the_order_given_and_files_in_that_of_their_names(spark, tmp_path):
+    for folder, text in (("z", "first"), ("a", "second")):
+        (tmp_path / folder).mkdir()
+        put(tmp_path / folder / "same.csv", "id,kind" if folder == "z" else "kind,id", f"1,{text}" if folder == "z" else f"{text},1")
+        put(tmp_path / folder / "more.csv", "kind,id", f"{text} before,1")
+    df = c.read_period_files(spark, [str(tmp_path / "z"), str(tmp_path / "a")])
+    got = [tuple(r) for r in df.orderBy(*c.READ_ORDER).select("id", "kind").collect()]
+    assert got == [("1", "first before"), ("1", "first"), ("1", "second before"), ("1", "second")]
+    one = c.read_period_files(spark, [str(tmp_path / "z" / "same.csv"), str(tmp_path / "a" / "same.csv")])
+    assert [r.kind for r in one.orderBy(*c.READ_ORDER).collect()] == ["first", "second"]
+
+
+def test_long_lines_by_the_width_of_their_own_header(spark, rows, tmp_path):
+    put(tmp_path / "a.csv", "x,y", "1,2", "1,2,3")
+    put(tmp_path / "b.csv", "z,y,x", "1,2,3", "1,2,3,4", "1,2")
+    df = c.read_period_files(spark, [str(tmp_path)]).select("x", "y", "z")
+    assert rows(df) == [(None, "2", "1"), ("1", "2", None), ("3", "2", "1")]
+
+
+def test_the_header_pass_reads_heads_only(spark, tmp_path):
+    """A file of many splits is one task, which stops after its first line."""
+    put(tmp_path / "big.csv", "a,b", *["1,2"] * 200_000, "x" * 100)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "10000b")
+        assert [(place, line) for _, place, line in c.first_lines(spark, str(tmp_path))] == [(0, "a,b")]
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "10000b"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_no_header_at_all(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("\n\n")
+    assert c.read_header_names(spark, str(tmp_path)).count() == 0
+    with pytest.raises(ValueError, match="header"):
+        c.read_tagged_files(spark, str(tmp_path))
+
+
+def test_another_header_than_the_one_given_is_an_error(spark, tmp_path):
     folder = tmp_path / "mixed"
     folder.mkdir()
     put(folder / "a.csv", "x,y", "1,2")
