@@ -2,29 +2,34 @@
 
 Documents are summed to cells, one row for each source, language and topic
 that occurs, with its tokens.  Raking then scales the cells to the target
-marginals of one dimension after the other, round by round.  The fitted
-weights over the tokens give each cell's sampling rate; a document is drawn by
-a hash of its id.
+marginals of one dimension after the other, round by round, until they hold.
+The fitted weights over the tokens give each cell's sampling rate; a document
+is drawn by a hash of its id.
 
-The targets fix the size of the sample: rates are scaled by the largest number
-at which no probability exceeds one, so the expected shares of the sample are
-the fitted ones.  A larger size can be asked for; then probabilities are cut
-at one, and cells that run out leave their targets to the others.
+A sample has a size, a share of all tokens, so no cell may be asked for more
+than it has.  Targets beyond the tokens of their value are lowered to them and
+the others raised in proportion; the raking keeps every cell's weight at or
+below its tokens, and what a full cell cannot give the others of its value
+give.  So the sample has its size and, where cells allow it at all, the
+marginals.  How far they are from the targets is part of the result.
 
 Only DataFrame functions; documents are read twice and only their cells are
 shuffled, so a source with a third of all rows is one row per task.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daytally.scratch import materialize
 
 DIMENSIONS = ("source", "lang", "topic")
-ROUNDS = 10
+#: Raking ends when no marginal is farther from its target, or after so many rounds.
+TOLERANCE, ROUNDS = 1e-4, 40
 #: Default targets are the natural shares to this power, which lifts the small ones.
-TEMPER = 0.5
-#: Share of the tokens that a sample of a given size keeps.
+TEMPER = 0.9
+#: Share of the tokens that a sample keeps.
 KEEP = 0.7
 SEED = "mix"
 
@@ -80,35 +85,69 @@ def given(table: DataFrame, dimension: int, shares: dict) -> DataFrame:
     return present.select("key", (F.col("target") / F.lit(total)).alias("target"))
 
 
-def rake(table: DataFrame, targets: list[DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Cells with the fitted ``weight`` (share of the tokens wanted); a value without target gets 0.
+def rake(
+    table: DataFrame, targets: list[DataFrame], size: float | None = None, tolerance: float = TOLERANCE, rounds: int = ROUNDS
+) -> tuple[DataFrame, float]:
+    """Cells with the fitted ``weight`` (share of the sample), and the largest distance of a marginal from its target.
 
-    Each round scales the weights to every marginal in turn and is written, so
-    the plan stays short and lost executors cost one round.
+    A value without target gets 0.  With a ``size`` in tokens no weight exceeds
+    the cell's tokens.  Each round scales the weights to every marginal in
+    turn; each such step is written, so the plan stays one aggregate and one
+    join, and lost executors cost one step.
     """
     total = table.agg(F.sum("tokens").alias("s")).first().s or 1
-    fitted = table.withColumn("weight", F.col("tokens") / F.lit(float(total)))
+    limit = F.col("tokens") / F.lit(float(size)) if size else F.lit(float("inf"))
+    fitted = table.withColumn("raw", F.col("tokens") / F.lit(float(total))).withColumn("most", limit)
     for i, target in enumerate(targets):
         named = target.select(F.col("key").alias(f"k{i}"), F.col("target").alias(f"t{i}"))
         fitted = fitted.join(named, f"k{i}", "left").withColumn(f"t{i}", F.coalesce(f"t{i}", F.lit(0.0)))
     fitted = materialize(fitted, "raked")
+    weight, worst = F.least("raw", "most"), 1.0
     for _ in range(rounds):
         for i in range(len(targets)):
-            sums = fitted.groupBy(f"k{i}", f"t{i}").agg(F.sum("weight").alias("now"))
-            factor = F.when(F.col("now") > 0, F.col(f"t{i}") / F.col("now")).otherwise(0.0)
-            factors = sums.select(f"k{i}", factor.alias("factor")).hint("merge")
-            fitted = fitted.join(factors, f"k{i}").withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        fitted = materialize(fitted, "raked")
-    return fitted
+            fitted = materialize(_scaled(fitted, i), "raked")
+        worst = _farthest(fitted, len(targets))
+        if worst <= tolerance:
+            break
+    return fitted.withColumn("weight", weight), worst
 
 
-def deviation(fitted: DataFrame, targets: list[DataFrame]) -> float:
-    """Largest difference between a fitted marginal and its target."""
-    worst = 0.0
-    for i, target in enumerate(targets):
-        sums = fitted.groupBy(F.col(f"k{i}").alias("key")).agg(F.sum("weight").alias("now")).join(target, "key")
-        worst = max(worst, sums.agg(F.max(F.abs(F.col("now") - F.col("target"))).alias("d")).first().d or 0.0)
-    return worst
+def _scaled(fitted: DataFrame, i: int) -> DataFrame:
+    """One step: the weights of every value of a dimension times what brings their sum to the target.
+
+    Full cells stay full, so a value that lacks something raises the others by
+    it; the step is repeated round by round as more cells fill up.
+    """
+    full, target = F.col("raw") >= F.col("most"), F.col(f"t{i}")
+    sums = fitted.groupBy(f"k{i}", f"t{i}").agg(
+        F.coalesce(F.sum(F.when(full, F.col("most"))), F.lit(0.0)).alias("full"),
+        F.coalesce(F.sum(F.when(~full, F.col("raw"))), F.lit(0.0)).alias("free"),
+    )
+    now = F.col("full") + F.col("free")
+    up = (target - F.col("full")) / F.col("free")
+    factor = F.when(now <= 0, 0.0).when((target >= now) & (F.col("free") > 0), up).otherwise(target / now)
+    return fitted.join(sums.select(f"k{i}", factor.alias("factor")), f"k{i}").withColumn("raw", F.col("raw") * F.col("factor")).drop("factor")
+
+
+def _marginals(fitted: DataFrame, dimensions: int) -> DataFrame:
+    """``dimension``, ``key``, ``target`` and the sum of the weights ``now``."""
+    each = F.array(*(F.struct(F.lit(i).alias("dimension"), F.col(f"k{i}").alias("key"), F.col(f"t{i}").alias("target")) for i in range(dimensions)))
+    rows = fitted.select(F.least("raw", "most").alias("weight"), F.explode(each).alias("of")).select("weight", "of.*")
+    return rows.groupBy("dimension", "key", "target").agg(F.sum("weight").alias("now"))
+
+
+def _farthest(fitted: DataFrame, dimensions: int) -> float:
+    sums = _marginals(fitted, dimensions)
+    return sums.agg(F.max(F.abs(F.col("now") - F.col("target"))).alias("d")).first().d or 0.0
+
+
+def _reachable(table: DataFrame, i: int, target: DataFrame, size: float) -> DataFrame:
+    """Targets of which none asks for more tokens than its value has; the others take the rest in proportion."""
+    sums = table.groupBy(F.col(f"k{i}").alias("key")).agg(F.sum("tokens").alias("tokens"))
+    wanted = materialize(sums.join(target, "key").select("key", "tokens", F.col("target").alias("weight")), "targets")
+    scale = _scale(wanted, size)
+    given = F.least(F.col("tokens").cast("double"), F.lit(scale) * F.col("weight")) if scale is not None else F.col("tokens").cast("double")
+    return wanted.select("key", (F.when(F.col("weight") > 0, given).otherwise(0.0) / F.lit(float(size))).alias("target"))
 
 
 def _scale(fitted: DataFrame, budget: float) -> float | None:
@@ -157,17 +196,24 @@ def chance(doc_id: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
 
 
-def mix(docs: DataFrame, shares: dict[str, dict] | None = None, keep: float | None = KEEP, rounds: int = ROUNDS) -> DataFrame:
-    """Probability and decision for every document: ``doc_id``, the dimensions, ``tokens``, ``probability``, ``selected``.
+def mix(
+    docs: DataFrame, shares: dict[str, dict] | None = None, keep: float | None = KEEP, tolerance: float = TOLERANCE, rounds: int = ROUNDS
+) -> DataFrame:
+    """Probability and decision for every document: ``doc_id``, the dimensions, ``tokens``, ``probability``, ``selected``, ``missed``.
 
     ``shares`` gives targets by dimension; a dimension that is not in it has
-    tempered ones.  With ``keep`` None the sample is as large as the targets
-    allow, and its expected shares are the targets.  With a number it has that
-    share of the tokens, and a cell that would need more than it has is kept
-    whole: the shares then miss the targets by what it lacks.  Null values of a dimension are a value of their own.  A
-    document without tokens has the probability of its cell, or 1 where the
-    cell has no tokens at all.  Repeated rows are drawn together; other
-    columns are ignored.
+    tempered ones.  The sample has the share ``keep`` of the tokens (or all
+    tokens of the values with a target, if they are fewer).  A target that
+    asks for more tokens than its value has is lowered to them, and the rest
+    goes to the other values in proportion.  ``missed``, the same in every row,
+    is the largest difference between a value's expected share of the sample
+    and the share that was asked for.  With ``keep`` None the sample is as
+    large as all targets allow at once, which the scarcest cell decides.
+
+    Null values of a dimension are a value of their own.  A document without
+    tokens has the probability 1 if its cell has no tokens at all, else that
+    of the cell.  Repeated rows are drawn together; other columns are ignored;
+    an empty table gives an empty result.
     """
     named = [
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -176,24 +222,40 @@ def mix(docs: DataFrame, shares: dict[str, dict] | None = None, keep: float | No
         topic(F.col("text")).alias("topic"),
         tokens(F.col("text")).alias("tokens"),
     ]
-    return _drawn(docs.select(*named), shares or {}, keep, rounds)
+    return _drawn(docs.select(*named), shares or {}, keep, tolerance, rounds)
 
 
-def _drawn(rows: DataFrame, shares: dict[str, dict], keep: float | None, rounds: int) -> DataFrame:
+def _drawn(rows: DataFrame, shares: dict[str, dict], keep: float | None, tolerance: float, rounds: int) -> DataFrame:
     rows = materialize(rows, "measured")
     table = materialize(cells(rows), "cells")
-    targets = [given(table, i, shares[d]) if d in shares else tempered(table, i) for i, d in enumerate(DIMENSIONS)]
-    fitted = rake(table, targets, rounds)
-    if keep is None:
+    asked = [given(table, i, shares[d]) if d in shares else tempered(table, i) for i, d in enumerate(DIMENSIONS)]
+    usable = table
+    for i, target in enumerate(asked):
+        usable = usable.join(target.where("target > 0").select(F.col("key").alias(f"k{i}")), f"k{i}", "left_semi")
+    held = (table.agg(F.sum("tokens").alias("s")).first().s or 0, usable.agg(F.sum("tokens").alias("s")).first().s or 0)
+    if keep is None or not held[1]:
+        fitted, _ = rake(table, asked, None, tolerance, rounds)
         scale = _largest(fitted)
+        rate = F.lit(scale if scale is not None else 0.0) * F.col("weight") / F.col("tokens")
     else:
-        scale = _scale(fitted, keep * (table.agg(F.sum("tokens").alias("s")).first().s or 0))
-    rate = F.col("weight") / F.col("tokens")
-    probability = F.least(F.lit(1.0), F.lit(scale) * rate) if scale is not None else F.when(F.col("weight") > 0, 1.0).otherwise(0.0)
-    chosen = fitted.select("k0", "k1", "k2", F.when(F.col("tokens") == 0, 1.0).otherwise(probability).alias("probability"))
+        size = min(keep * held[0], held[1])
+        fitted, _ = rake(table, [_reachable(usable, i, target, size) for i, target in enumerate(asked)], size, tolerance, rounds)
+        rate = F.col("weight") / F.col("most")
+    missed = _missed(fitted, asked)
+    probability = F.when(F.col("tokens") == 0, 1.0).otherwise(F.least(F.lit(1.0), rate))
+    chosen = fitted.select("k0", "k1", "k2", probability.alias("probability"))
     keyed = rows.select("*", *(_key(d).alias(f"k{i}") for i, d in enumerate(DIMENSIONS)))
     joined = keyed.join(chosen, ["k0", "k1", "k2"], "left")
-    return joined.select("doc_id", *DIMENSIONS, "tokens", "probability", (chance(F.col("doc_id")) < F.col("probability")).alias("selected"))
+    drawn = (chance(F.col("doc_id")) < F.col("probability")).alias("selected")
+    return joined.select("doc_id", *DIMENSIONS, "tokens", "probability", drawn, F.lit(missed).alias("missed"))
+
+
+def _missed(fitted: DataFrame, asked: list[DataFrame]) -> float:
+    """Largest difference between a value's expected share of the sample and what was asked for."""
+    sums = _marginals(fitted, len(asked)).select("dimension", "key", "now")
+    wanted = reduce(DataFrame.unionByName, [t.select(F.lit(i).alias("dimension"), "key", F.col("target").alias("asked")) for i, t in enumerate(asked)])
+    both = sums.join(wanted, ["dimension", "key"], "full_outer").select(F.abs(F.coalesce("now", F.lit(0.0)) - F.coalesce("asked", F.lit(0.0))).alias("d"))
+    return float(both.agg(F.max("d").alias("d")).first().d or 0.0)
 
 
 def select(docs: DataFrame, shares: dict[str, dict] | None = None, keep: float | None = KEEP) -> DataFrame:
