@@ -32,8 +32,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draws documents to the target shares of source, language and topic."""
-    return mixing.select(docs, keep=None)
+    """Draws documents that hold seven tenths of the tokens, to the target shares of source, language and topic."""
+    return mixing.select(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
