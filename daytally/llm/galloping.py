@@ -7,9 +7,10 @@ halving.  That gives every end's rank in the longer list.  Ends in both lists
 cut the tokens into groups, and the ranks of two successive ends bound the run
 of tokens that the token between them overlaps.
 
-Texts are cut at blanks between two other characters, where a token of either
-kind ends, so the same word is aligned once and remembered; a text without such
-a place is aligned as a whole.
+Texts are cut where a token of either kind surely ends: before a blank between
+two other characters, around a line break between two others, and between a
+letter or digit and a punctuation mark.  So the same word is aligned once and
+remembered; a text without such a place is aligned as a whole.
 """
 
 from __future__ import annotations
@@ -17,9 +18,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daytally.llm.byte_bpe import Codec, byte_characters, sentencepiece_model
-from daytally.llm.prefix_table import Pieces
+from daytally.llm.prefix_table import BLANK, Encoder, Pieces
 from daytally.llm.words import slices
 from daytally.scratch import materialize
 
 #: Aligned words remembered per task, and the characters of the longest one.
-REMEMBERED, SHORT = 120_000, 64
+REMEMBERED, SHORT = 250_000, 64
+#: Tokens of a word from which on it is aligned by itself.
+ALONE = 64
+#: Characters of the texts, and new words, that are handed to the libraries at once.
+RUN, BLOCK = 1 << 18, 20_000
 #: Most id pairs whose counts are sent to every task; the documents' other pairs are joined with theirs.
 HEAD = 1 << 19
 #: Distinct pairs that a task holds while counting.
@@ -54,24 +60,86 @@ def gallop(short: list[int], long: list[int]) -> list[int]:
     return ranks
 
 
-def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Groups and links of two lists of ends with the same last one.
+class Runs(NamedTuple):
+    """Lists one after the other: their values, and where each starts and ends."""
 
-    A group is the pair of indexes after its last tokens.  Links are all pairs
-    of indexes of tokens that share a byte, in order.
+    values: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+    @staticmethod
+    def of(values: np.ndarray, counts: np.ndarray) -> Runs:
+        ends = np.cumsum(counts)
+        return Runs(values, ends - counts, ends)
+
+
+def gallop_many(short: Runs, long: Runs) -> np.ndarray:
+    """For each value of each short list, the place in ``long.values`` of the first one of its long list that is not below.
+
+    All values rise over all lists, and the last ones of a short and its long
+    list are equal.  The lists advance together, each from where its last
+    value was found; a very long one goes alone.
     """
-    turned = len(a) > len(b)
-    short, long = (b, a) if turned else (a, b)
-    groups, links, low = [], [], 0
-    for i, (end, rank) in enumerate(zip(short, gallop(short, long), strict=True)):
-        links += [(i, j) for j in range(low, rank + 1)]
-        low = rank
-        if long[rank] == end:
-            low += 1
-            groups.append((i + 1, rank + 1))
-    if turned:
-        return [(j, i) for i, j in groups], sorted((j, i) for i, j in links)
-    return groups, links
+    ranks, count = np.zeros(len(short.values), np.int64), short.ends - short.starts
+    for i in np.flatnonzero(count > ALONE):
+        found = gallop(short.values[short.starts[i] : short.ends[i]].tolist(), long.values[long.starts[i] : long.ends[i]].tolist())
+        ranks[short.starts[i] : short.ends[i]] = np.array(found) + long.starts[i]
+    here, at = np.flatnonzero(count <= ALONE), long.starts.copy()
+    turn = 0
+    while len(here := here[count[here] > turn]):
+        place = short.starts[here] + turn
+        end, low, last = short.values[place], at[here], long.ends[here] - 1
+        probe, step = low.copy(), 1
+        open_ = np.flatnonzero(long.values[probe] < end)
+        while len(open_):  # steps that double
+            low[open_] = probe[open_] + 1
+            probe[open_] = np.minimum(probe[open_] + step, last[open_])
+            step *= 2
+            open_ = open_[long.values[probe[open_]] < end[open_]]
+        open_ = np.flatnonzero(low < probe)
+        while len(open_):  # halving
+            middle = (low[open_] + probe[open_]) // 2
+            below = long.values[middle] < end[open_]
+            low[open_], probe[open_] = np.where(below, middle + 1, low[open_]), np.where(below, probe[open_], middle)
+            open_ = open_[low[open_] < probe[open_]]
+        ranks[place] = at[here] = low
+        turn += 1
+    return ranks
+
+
+def align(a: Runs, b: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Groups and links of two tokenizers over the same words; values are byte offsets at which tokens end.
+
+    Gives the group of every token of A and of B, numbered over all words, and
+    the tokens of A and of B of every link, word by word.
+    """
+    turned = (a.ends - a.starts) > (b.ends - b.starts)
+    shorter, longer = (_picked(a, b, turned), _picked(b, a, turned))
+    ranks = gallop_many(shorter, longer)
+    common = longer.values[ranks] == shorter.values
+    # a token overlaps those from where the token before it ended to where it ends itself
+    low = np.r_[0, ranks[:-1] + common[:-1]]
+    runs = ranks - low + 1
+    left = np.repeat(np.arange(len(ranks)), runs)
+    right = np.arange(len(left)) - np.repeat(np.cumsum(runs) - runs, runs) + np.repeat(low, runs)
+    ends = shorter.values[common]
+    groups = [np.searchsorted(ends, x.values) for x in (a, b)]
+    # back from places in the picked lists to those in the given ones
+    word = np.repeat(np.arange(len(turned)), shorter.ends - shorter.starts)[left]
+    flip = turned[word]
+    short_at, long_at = left - shorter.starts[word], right - longer.starts[word]
+    return (*groups, a.starts[word] + np.where(flip, long_at, short_at), b.starts[word] + np.where(flip, short_at, long_at))
+
+
+def _picked(x: Runs, y: Runs, turned: np.ndarray) -> Runs:
+    """The lists of ``x``, or of ``y`` where turned."""
+    starts, ends = np.where(turned, y.starts, x.starts), np.where(turned, y.ends, x.ends)
+    counts = ends - starts
+    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(starts, counts)
+    second = np.repeat(turned, counts)
+    values = np.empty(len(at), np.int64)
+    values[second], values[~second] = y.values[at[second]], x.values[at[~second]]
+    return Runs.of(values, counts)
 
 
 def byte_level_ranks(path: str) -> dict[bytes, int]:
@@ -90,48 +158,112 @@ def byte_level_ranks(path: str) -> dict[bytes, int]:
     return {bytes(map(value.__getitem__, t)): i for t, i in ids.items()}
 
 
+# Letters and digits, and punctuation, that all tables of characters agree on.
+_LETTER, _MARK = "0-9A-Za-zÀ-ÖØ-öø-ÿ", r"!-/:-@\[-`{-~"
+_CUT = rf"(?:(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)|(?<=[{_LETTER}])(?=[{_MARK}])|(?<=[{_MARK}])(?<!')(?=[{_LETTER}]))"
+#: Pieces of a text between places where tokens end; an apostrophe may belong to the letters after it.
+WORDS = re.compile(
+    rf" ?[{_LETTER}]++(?=[{_MARK}]|[ \n]\S|\Z)| ?[{_MARK}]++(?:(?=[ \n]\S|\Z)|(?<!')(?=[{_LETTER}]))|\n(?=\S)|.(?:(?!{_CUT}).)*+",
+    re.DOTALL,
+)
+
+
 class Aligner:
     """Both tokenizers and what they make of each word, once per worker process; its memories are bounded."""
 
-    def __init__(self, ranks: dict[bytes, int], a_model: bytes, pattern: str, b_model: bytes, b_bytes: list[bytes], cut: bool):
+    def __init__(self, ranks: dict[bytes, int], a_model: bytes, pattern: str, b_model: bytes, pieces: Pieces):
         self.a = Codec(ranks, a_model, pattern)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
-        self.b_bytes = b_bytes
-        self.words = re.compile(r"(?<=\S) (?=\S)").split if cut else lambda t: [t]
+        self.b_inner = Encoder(pieces)
+        self.b_bytes = pieces.bytes_of
+        # a cut is one for B if it lies inside no piece
+        cut = all(len(WORDS.findall(t.replace(BLANK, " "))) == 1 for t in pieces.id_of)
+        self.words = WORDS.findall if cut else lambda t: [t]
         self.known: dict[str, tuple | None] = {}
-        self.code = "i" if pair_bits(self.a.bytes_of, b_bytes) < 32 else "q"
-
-    def word(self, word: str, b: list[int]) -> tuple[int, int, int, str, bytes] | None:
-        """Token counts, groups and linked pairs of a word with a blank before it; none where bytes differ."""
-        a = np.frombuffer(self.a.encode(" " + word), "<u4").tolist()
-        a_bytes, b_bytes = [self.a.bytes_of[i] for i in a], [self.b_bytes[i] for i in b]
-        joined = b"".join(a_bytes)
-        if joined != b"".join(b_bytes) or joined != (" " + word).encode("utf-8", "replace"):
-            return None
-        a_ends, b_ends = (np.cumsum([*map(len, x)]).tolist() for x in (a_bytes, b_bytes))
-        groups, links = align(a_ends, b_ends)
-        shown, i0, j0 = [], 0, 0
-        for i, j in groups:
-            shown.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-            i0, j0 = i, j
-        pairs = array(self.code, [a[i] * len(self.b_bytes) + b[j] for i, j in links])
-        return len(a), len(b), len(groups), ";".join(shown), pairs.tobytes()
-
-    def text(self, text: str) -> tuple[int, int, int, str, bytes]:
-        """The same for a whole text; zeros where it has no tokens."""
-        if not text:
-            return 0, 0, 0, "", b""
-        words = self.words(text)
-        new = [w for w in set(words) if w not in self.known]
-        found = dict(zip(new, map(self.word, new, self.b.encode(new, num_threads=1)), strict=True)) if new else {}
-        parts = [found[w] if w in found else self.known[w] for w in words]
-        if len(self.known) + len(found) > REMEMBERED:
-            self.known.clear()
+        self.kind = np.int32 if pair_bits(self.a.bytes_of, self.b_bytes) < 32 else np.int64
+        self.a_sizes, self.b_sizes = (np.array([*map(len, x)], np.int64) for x in (self.a.bytes_of, self.b_bytes))
+        # how an id is shown inside a group and at the end of its side of it
+        self.a_shown = [f"{i}," for i in range(len(self.a.bytes_of))], [f"{i}|" for i in range(len(self.a.bytes_of))]
+        self.b_shown = [f"{i}," for i in range(len(self.b_bytes))], [f"{i};" for i in range(len(self.b_bytes))]
+
+    def learn(self, words: list[str]) -> dict[str, tuple | None]:
+        """Token counts, groups and linked pairs of words; none where bytes differ."""
+        made: dict[str, tuple | None] = {}
+        for start in range(0, len(words), BLOCK):
+            block = words[start : start + BLOCK]
+            tokens = [self.a.pattern.findall(w) for w in block]
+            self.a.learn(set(chain.from_iterable(tokens)))
+            a_ids = [b"".join([self.a.known[t] for t in found]) for found in tokens]
+            # B puts a blank before whatever it is given
+            spaced = iter(self.b.encode([w[1:] for w in block if w[0] == " "], num_threads=1))
+            b_ids = [next(spaced) if w[0] == " " else self.b_inner.table(w.replace(" ", BLANK)) for w in block]
+            made |= dict.fromkeys(block)
+            same = [i for i, w in enumerate(block) if self._same(w, a_ids[i], b_ids[i])]
+            made.update(zip([block[i] for i in same], self._aligned([a_ids[i] for i in same], [b_ids[i] for i in same]), strict=True))
+        return made
+
+    def _same(self, word: str, a: bytes, b: list[int]) -> bool:
+        raw = word.encode("utf-8", "replace")
+        return b"".join([self.b_bytes[i] for i in b]) == raw and self.a.decode(a) == raw
+
+    def _aligned(self, a_ids: list[bytes], b_ids: list[list[int]]) -> list[tuple[int, int, int, str, bytes]]:
+        if not a_ids:
+            return []
+        a, b = np.frombuffer(b"".join(a_ids), "<u4").astype(np.int64), np.fromiter(chain.from_iterable(b_ids), np.int64)
+        a_count, b_count = np.array([len(x) // 4 for x in a_ids], np.int64), np.array([*map(len, b_ids)], np.int64)
+        a_runs, b_runs = Runs.of(np.cumsum(self.a_sizes[a]), a_count), Runs.of(np.cumsum(self.b_sizes[b]), b_count)
+        a_group, b_group, i, j = align(a_runs, b_runs)
+        pairs = (a[i] * len(self.b_bytes) + b[j]).astype(self.kind)
+        links = np.bincount(np.repeat(np.arange(len(a_ids)), a_count)[i], minlength=len(a_ids))
+        # tokens in the order in which they are shown: by group, A before B
+        shown = np.empty(len(a) + len(b), object)
+        order = np.argsort(np.r_[a_group * 2, b_group * 2 + 1], kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        for ids, group, table, at in ((a, a_group, self.a_shown, place[: len(a)]), (b, b_group, self.b_shown, place[len(a) :])):
+            last = np.r_[group[1:] != group[:-1], True]
+            shown[at] = [table[x][y] for x, y in zip(last.tolist(), ids.tolist(), strict=True)]
+        shown = shown.tolist()
+        ends = (a_runs.ends + b_runs.ends).tolist()
+        starts = (a_runs.starts + b_runs.starts).tolist()
+        groups = np.diff(np.r_[0, a_group[a_runs.ends - 1] + 1]).tolist()
+        raw, cuts = pairs.tobytes(), (np.r_[0, np.cumsum(links)] * pairs.itemsize).tolist()
+        return [
+            (x, y, n, "".join(shown[s:e])[:-1], raw[c:d])
+            for x, y, n, s, e, c, d in zip(a_count.tolist(), b_count.tolist(), groups, starts, ends, cuts, cuts[1:], strict=False)
+        ]
+
+    def texts(self, texts: list[str]) -> list[tuple[int, int, int, str, bytes]]:
+        """The same for whole texts; zeros where one has no tokens."""
+        split = [self.words(" " + t) if t else [] for t in texts]
+        new = list({w for words in split for w in words if w not in self.known})
+        found = self.learn(new)
+        out = []
+        for words in split:
+            parts = [found[w] if w in found else self.known[w] for w in words]
+            if not parts or None in parts:
+                out.append((0, 0, 0, "", b""))
+                continue
+            groups = hashlib.sha256(";".join([p[3] for p in parts]).encode()).hexdigest()
+            counts = (sum([p[i] for p in parts]) for i in range(3))
+            out.append((*counts, groups, b"".join([p[4] for p in parts])))
+        if len(self.known) + len(found) > REMEMBERED:  # common words are in this run too
+            self.known = {w: self.known[w] for words in split for w in words if w in self.known}
         self.known.update((w, p) for w, p in found.items() if len(w) <= SHORT)
-        if None in parts:
-            return 0, 0, 0, "", b""
-        groups = hashlib.sha256(";".join([p[3] for p in parts]).encode()).hexdigest()
-        return sum([p[0] for p in parts]), sum([p[1] for p in parts]), sum([p[2] for p in parts]), groups, b"".join([p[4] for p in parts])
+        return out
+
+
+def runs(texts: list[str | None]) -> Iterator[list[str]]:
+    """Texts in runs of some characters, so that few calls serve many short ones."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text or "")
+        size += len(run[-1])
+        if size > RUN:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
 
 
 def pair_bits(a: list, b: list) -> int:
@@ -156,7 +288,7 @@ def _links(docs: DataFrame, a_path: str, pattern: str, b_path: str) -> tuple[Dat
     with open(b_path, "rb") as file:
         b_model = file.read()
     pieces = Pieces(b_model)
-    args = (ranks, sentencepiece_model(ranks), pattern, b_model, pieces.bytes_of, pieces.segments is not None)
+    args = (ranks, sentencepiece_model(ranks), pattern, b_model, pieces)
     digest = hashlib.sha256(repr(sorted(ranks.items())).encode() + pattern.encode() + b_model).hexdigest()
     sent = docs.sparkSession.sparkContext.broadcast((digest, *args))
     small = pair_bits([None] * (max(ranks.values(), default=-1) + 1), pieces.bytes_of) < 32
@@ -165,7 +297,7 @@ def _links(docs: DataFrame, a_path: str, pattern: str, b_path: str) -> tuple[Dat
         made = aligner(*sent.value)
         kind = np.int32 if small else np.int64
         for batch in slices(batches):
-            rows = [made.text(t or "") for t in batch.column(2).to_pylist()]
+            rows = [row for run in runs(batch.column(2).to_pylist()) for row in made.texts(run)]
             ends = np.cumsum([0, *(len(r[4]) // kind().itemsize for r in rows)], dtype=np.int64)
             columns = [batch.column(0), batch.column(1)]
             columns += [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
@@ -251,8 +383,9 @@ def _measured(links: DataFrame, head: tuple[np.ndarray, np.ndarray, np.ndarray])
 def alignment(docs: DataFrame, a_path: str, pattern: str, b_path: str) -> DataFrame:
     """Groups and links between the tokens of two tokenizers over every whole text.
 
-    A is a byte-level BPE tokenizer file whose ``pattern`` starts a match at a
-    blank between two other characters; it encodes a blank and the text.  B is
+    A is a byte-level BPE tokenizer file whose ``pattern`` parts letters and
+    digits, punctuation and white space, but for an apostrophe before letters
+    and the blank before a word; it encodes a blank and the text.  B is
     a sentencepiece BPE model that puts the blank there itself.  Special tokens
     are plain text to both.
 

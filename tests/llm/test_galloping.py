@@ -7,6 +7,7 @@ import random
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -111,16 +112,27 @@ def test_a_task_that_holds_few_pairs_counts_the_same(spark, monkeypatch):
     assert {r.pair: r.n for r in galloping._counted(frame).collect()} == want
 
 
-def test_galloping_ranks_and_overlaps():
+def _rising(rng, size, share):
+    return sorted({*rng.sample(range(1, size + 1), int(size * share)), size})
+
+
+@pytest.mark.parametrize("alone", [0, 5, 1000])
+def test_galloping_ranks_and_overlaps(monkeypatch, alone):
+    """Lists that go alone and lists that go together, of one to some hundred ends."""
+    monkeypatch.setattr(galloping, "ALONE", alone)
     rng = random.Random(1)
-    for n in range(400):
-        size = rng.randint(1, 400)
-        a, b = (sorted({*rng.sample(range(1, size + 1), rng.randint(0, size) // (1 + 9 * (n % 2 == k))), size}) for k in (0, 1))
-        assert galloping.gallop(a, b) == [bisect_left(b, x) for x in a]
-        groups, links = galloping.align(a, b)
-        spans = [[(s, e) for s, e in zip([0, *x], x)] for x in (a, b)]
-        assert links == [(i, j) for i, (s, e) in enumerate(spans[0]) for j, (t, f) in enumerate(spans[1]) if s < f and t < e]
-        assert groups == [(i + 1, b.index(x) + 1) for i, x in enumerate(a) if x in b]
+    sizes = [rng.choice([1, 2, 5, 9, 300]) for _ in range(300)]
+    lists = [[_rising(rng, n, rng.choice([0, 0.1, 0.5, 1])) for n in sizes] for _ in range(2)]
+    assert all(galloping.gallop(a, b) == [bisect_left(b, x) for x in a] for a, b in zip(*lists, strict=True))
+    base = [sum(sizes[:i]) for i in range(len(sizes))]
+    a, b = (galloping.Runs.of(np.array([x + s for s, one in zip(base, each, strict=True) for x in one]), np.array([*map(len, each)])) for each in lists)
+    a_group, b_group, left, right = galloping.align(a, b)
+    spans = [[(s, e) for s, e in zip([0, *x.values.tolist()], x.values.tolist())] for x in (a, b)]
+    owner = [[i for i, (s, e) in enumerate(each) for _ in range(s, e)] for each in spans]
+    assert sorted(zip(left.tolist(), right.tolist(), strict=True)) == sorted(set(zip(*owner, strict=True)))
+    common = sorted({*a.values.tolist()} & {*b.values.tolist()})
+    for groups, runs in ((a_group, a), (b_group, b)):
+        assert groups.tolist() == [bisect_left(common, x) for x in runs.values.tolist()]
 
 
 def test_the_shorter_list_drives():
@@ -133,3 +145,19 @@ def test_the_shorter_list_drives():
 
     galloping.gallop([5, 90_000, 100_000], Counted(range(1, 100_001)))
     assert Counted.read < 150
+
+
+def test_texts_are_cut_where_both_tokenizers_cut(libraries):
+    a, b = libraries
+    texts = ["it's a _b_ (c)d 'e' f\n\ng\nh  i,j. k's", "a1b2 x.y\tz ²½m² \u00e9t\u00e9!", " 'tis don't'x", "\n a", "\x1c b"]
+    for text in texts:
+        words = galloping.WORDS.findall(" " + text)
+        assert "".join(words) == " " + text
+        whole = a.encode(" " + text, add_special_tokens=False).ids
+        assert [i for w in words for i in a.encode(w, add_special_tokens=False).ids] == whole
+        at, ends = 0, set()
+        for i in b.encode(text):
+            at += 1 if b.is_byte(i) else len(b.id_to_piece(i).replace("▁", " ").encode())
+            ends.add(at)
+        assert {len("".join(words[: n + 1]).encode()) for n in range(len(words))} <= ends
+    assert galloping.WORDS.findall(" it's, a\nb") == [" it", "'s", ",", " a", "\n", "b"]
