@@ -30,8 +30,6 @@ from daytally.scratch import materialize
 
 #: Labelled documents that the model learns from, at most; chosen by a hash of the id.
 MAX_LABELLED = 20_000
-#: Learned words and stems of the lexicon, at most.
-MAX_LEXICON = 128
 #: Training documents that must hold a word or stem for the lexicon.
 LEAST_DOCUMENTS = 8
 #: Likelihood ratio (G squared) that a word or stem must reach, and the share of its documents that must be toxic.
@@ -55,7 +53,9 @@ INSULTS = frozenset(
 SECOND_PERSON = frozenset(b"you your yours yourself youre du dich dir dein deine ihr euch tu toi ton votre vous usted ustedes te eres vos".split())
 
 _WORD = re.compile(rb"[a-z\x80-\xff]+")
-_HIDDEN = re.compile(rb"[a-z\x80-\xff@$!*0-9._-]*[a-z][@$!*0-9._-]+[a-z][a-z\x80-\xff@$!*0-9._-]*")
+# A run of letters and signs with a sign in it, found where it starts and read once; it is a hidden word if letters surround signs.
+_SIGNED = re.compile(rb"(?<![a-z\x80-\xff@$!*0-9._-])[a-z\x80-\xff]*+[@$!*0-9._-][a-z\x80-\xff@$!*0-9._-]*+")
+_SURROUNDED = re.compile(rb"[a-z][@$!*0-9._-]++[a-z]")
 #: Characters that stand for letters, and those put between letters.
 _UNHIDE = bytes.maketrans(b"013457@$!", b"oieastasi")
 _BETWEEN = b"*._-"
@@ -89,6 +89,11 @@ class Weights(Remembered):
         super().__init__(lambda word: max(lexicon.get(u, 0.0) for u in units(word)))
 
 
+def hidden_words(low: bytes) -> list[bytes]:
+    """Words in lower case that have signs between letters; the time is linear in the text."""
+    return [run for run in _SIGNED.findall(low) if _SURROUNDED.search(run)]
+
+
 def measures(text: str | None, weight: Weights) -> list[float]:
     """The features of one text, in the order of ``FEATURES``; an empty text has zeros."""
     data = (text or "").encode("utf-8", "replace")
@@ -106,7 +111,7 @@ def measures(text: str | None, weight: Weights) -> list[float]:
         after = np.searchsorted(persons, hits)
         gap = np.minimum(np.abs(persons[np.minimum(after, len(persons) - 1)] - hits), np.abs(persons[np.maximum(after - 1, 0)] - hits))
         near = int((gap <= NEAR).sum())
-    hidden = _HIDDEN.findall(low)
+    hidden = hidden_words(low)
     shown = sum(weight[w.translate(_UNHIDE, _BETWEEN)] > 0 for w in hidden)
     marks = int(counts[33:48].sum() + counts[58:65].sum() + counts[91:97].sum() + counts[123:127].sum())
     return [
@@ -140,7 +145,8 @@ def learn_lexicon(labelled: DataFrame) -> dict[bytes, float]:
     """Words and stems that toxic training documents hold far more often, with their log odds as weight.
 
     ``labelled`` has ``text`` and ``label``.  Each task sends its counts of
-    documents by word and stem; Spark sums and ranks them.
+    documents by word and stem; Spark sums and tests them.  All that pass are
+    kept: a labelled sample of bounded size has a bounded number of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +175,7 @@ def learn_lexicon(labelled: DataFrame) -> dict[bytes, float]:
     )
     odds = F.log((F.col("t") + 0.5) / (F.col("c") + 0.5)) - F.log((toxic + 0.5) / (clean + 0.5))
     best = counts.withColumn("ratio", ratio).where((F.col("t") >= LEAST_SHARE * n) & (F.col("ratio") >= LEAST_RATIO))
-    best = best.orderBy(F.desc("ratio"), "unit").limit(MAX_LEXICON).select("unit", odds.alias("weight"))
+    best = best.select("unit", odds.alias("weight"))
     return {w + b" ": 3.0 for w in INSULTS} | {bytes(r.unit): min(6.0, max(0.5, r.weight)) for r in best.collect()}
 
 
