@@ -14,7 +14,7 @@ Everything is DataFrame functions; no Python runs in a task.
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally.scratch import materialize
@@ -143,9 +143,6 @@ def _scan(docs: DataFrame) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     base = named.select("doc_id", "text", F.xxhash64("text").alias("digest"), F.concat(*(spans_of(F.col("text"), k) for k in KINDS)).alias("base"))
 
-    def continued(m: Column) -> Column:
-        return F.exists("base", lambda s: (s["start"] < m["start"]) & (s["end"] > m["start"]))
-
     def pattern(ms: Column, i: Column) -> Column:
         """The two words before; where fewer are left since the token before, that token and what is before it count."""
         before = F.get(ms, i)["before"]
@@ -160,20 +157,38 @@ def _scan(docs: DataFrame) -> DataFrame:
 
     def candidate(ms: Column, m: Column, i: Column) -> Column:
         return F.struct(
-            F.when(continued(m), "").otherwise(pattern(ms, i)).alias("pattern"),  # the rest of an identifier tells nothing by itself
+            pattern(ms, i).alias("pattern"),
             F.lower(m["match"]).alias("token"),
             m["start"].alias("start"),
             m["end"].alias("end"),
         )
 
-    def known(m: Column) -> Column:
-        return F.exists("base", lambda s: (s["start"] < m["end"]) & (s["end"] > m["start"]))
-
-    found = let(matches(F.col("text"), CANDIDATE), lambda ms: F.transform(ms, lambda m, i: F.struct(candidate(ms, m, i).alias("c"), known(m).alias("seed"))))
+    found = let(matches(F.col("text"), CANDIDATE), lambda ms: F.transform(ms, lambda m, i: candidate(ms, m, i)))
     held = F.when(F.col("text").rlike("[0-9@]"), found)
     return base.select(F.monotonically_increasing_id().alias("key"), "doc_id", "digest", "base", held.alias("held"))
 
 
+def _candidates(scanned: DataFrame) -> DataFrame:
+    """A row for each candidate: ``key``, ``pattern``, ``token``, ``start``, ``end`` and whether it is a ``seed``.
+
+    A seed overlaps a base span.  The rest of an identifier (a token inside a
+    span that started before it) tells nothing by itself and has no pattern.
+    Both follow from the spans before and after it in one pass over the places
+    of a text, so a text with many spans costs no more for each.
+    """
+    tokens = scanned.select("key", F.explode("held").alias("c")).select("key", "c.*", F.lit(False).alias("base"))
+    spans = scanned.select("key", F.explode("base").alias("s")).select("key", "s.start", "s.end", F.lit(True).alias("base"))
+    events = tokens.unionByName(spans, allowMissingColumns=True)
+    earlier = Window.partitionBy("key").orderBy("start").rangeBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("key").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = F.coalesce(F.max(F.when(F.col("base"), F.col("end"))).over(earlier), F.lit(0))
+    coming = F.min(F.when(F.col("base"), F.col("start"))).over(later)
+    placed = events.select("*", reached.alias("reached"), coming.alias("coming")).where(~F.col("base"))
+    inside = F.col("reached") > F.col("start")
+    seed = inside | F.coalesce(F.col("coming") < F.col("end"), F.lit(False))
+    return placed.select("key", F.when(inside, "").otherwise(F.col("pattern")).alias("pattern"), "token", "start", "end", seed.alias("seed"))
+
+
 def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Confidence of patterns from the graph ``pattern``, ``token``, ``seed``; columns ``pattern``, ``confidence``.
 
@@ -203,7 +218,7 @@ def detect(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     columns are ignored.
     """
     scanned = materialize(_scan(docs), "scanned")
-    held = scanned.select("key", F.explode("held").alias("h")).select("key", "h.c.*", "h.seed").where("pattern <> ''")
+    held = materialize(_candidates(scanned), "candidates").where("pattern <> ''")
     seed = F.col("seed") | F.col("token").rlike(KEY)
     edges = held.groupBy("pattern", "token").agg(F.max(seed).alias("seed"))
     good = score_patterns(edges, rounds).where(F.col("confidence") >= CONFIDENT).select("pattern")
@@ -230,18 +245,48 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; spans that overlap become one."""
+#: Code points of the blocks that a text is cut into, so that a place in it is found at once.
+_CUT = 256
+
+
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """The text from one place to another, put together from its blocks."""
+    first, last = F.floor(start / _CUT).cast("int"), F.floor((end - 1) / _CUT).cast("int")
+    at, rest = (start % _CUT + 1).cast("int"), ((end - 1) % _CUT + 1).cast("int")
+    inside = F.substr(F.get(blocks, first), at, end - start)
+    over = F.concat(
+        F.substr(F.get(blocks, first), at, F.lit(_CUT)),
+        F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        F.substr(F.get(blocks, last), F.lit(1), rest),
+    )
+    return F.when(end <= start, "").when(first == last, inside).otherwise(over)
+
+
+def redacted(text: Column, cuts: Column) -> Column:
+    """The text with its cuts taken out: ``start``, ``end``, ``done`` (where the text is dealt with up to) and ``kind``, in order.
+
+    A cut that starts where the text is dealt with already only lengthens the one before it.
+    """
+
+    def joined(blocks: Column) -> Column:
+        def piece(c: Column) -> Column:
+            label = F.concat(F.lit("["), F.upper(c["kind"]), F.lit("]"))
+            return F.when(c["start"] >= c["done"], F.concat(_piece(blocks, c["done"], c["start"]), label)).otherwise("")
+
+        over = F.array_max(F.transform(cuts, lambda c: c["end"]))
+        return F.concat(F.array_join(F.transform(cuts, piece), ""), let(over, lambda at: _piece(blocks, at, F.length(text))))
+
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CUT}}}"), F.lit(0)), joined)
 
-    def step(a: Column, s: Column) -> Column:
-        label = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        new = F.struct(F.concat(a["out"], F.substr(text, a["at"] + 1, s["start"] - a["at"]), label).alias("out"), s["end"].alias("at"))
-        more = F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at"))
-        return F.when(s["start"] >= a["at"], new).otherwise(more)
 
-    ordered = F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    return F.aggregate(ordered, start, step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.length(text))))
+def _cuts(spans: DataFrame) -> DataFrame:
+    """``doc_id``, ``digest`` and the ``cuts`` of each text, in order and each with where the ones before it end."""
+    each = spans.select("doc_id", "digest", F.explode("spans").alias("s")).select("doc_id", "digest", "s.*")
+    order = Window.partitionBy("doc_id", "digest").orderBy("start", F.desc("end"), "kind")
+    done = F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # as many as the text has spans; of spans that start together the longest is first, as it alone starts where nothing is done
+    cut = F.struct("start", done.alias("done"), "end", "kind")
+    return each.select("doc_id", "digest", cut.alias("c")).groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list("c")).alias("cuts"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -251,11 +296,10 @@ def redact(docs: DataFrame) -> DataFrame:
     keep their own; a text without spans is unchanged.
     """
     spans = detect(docs).where("size(base) + size(found) > 0").select("doc_id", "digest", F.concat("base", "found").alias("spans"))
-    spans = spans.dropDuplicates(["doc_id", "digest"])
-    left, right = docs.alias("l"), spans.alias("r")
+    left, right = docs.alias("l"), _cuts(spans.dropDuplicates(["doc_id", "digest"])).alias("r")
     digest = F.xxhash64(F.coalesce("l.text", F.lit("")))
     joined = left.join(right, F.col("l.doc_id").cast("long").eqNullSafe(F.col("r.doc_id")) & (digest == F.col("r.digest")), "left")
-    text = F.when(F.col("r.spans").isNull(), F.col("l.text")).otherwise(redacted(F.col("l.text"), F.col("r.spans")))
+    text = F.when(F.col("r.cuts").isNull(), F.col("l.text")).otherwise(redacted(F.col("l.text"), F.col("r.cuts")))
     out = joined.select(*(text.alias("text") if c == "text" else F.col(f"l.`{c}`").alias(c) for c in docs.columns))
     if "n_chars" not in docs.columns:
         return out

@@ -7,6 +7,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -198,7 +199,10 @@ def test_context_reaches_every_place_of_a_record(spark, lead):
 def test_words_of_a_list_are_those_really_before(spark):
     rows = [(1, "4711 pin 0815 iban DE89 a@b.cc"), (2, "call +49 123 456 7890 now 5")]
     scanned = pii._scan(spark.createDataFrame(rows, "doc_id long, text string"))
-    got = {r.doc_id: [h.c.pattern for h in r.held] for r in scanned.collect()}
+    ids = {r.key: r.doc_id for r in scanned.collect()}
+    got = {1: [], 2: []}
+    for r in sorted(pii._candidates(scanned).collect(), key=lambda r: r.start):
+        got[ids[r.key]].append(r.pattern)
     assert got == {1: ["0 0", "@ pin", "@ iban", "iban @"], 2: ["0 call", "", "", "", "@ now"]}
 
 
@@ -211,6 +215,42 @@ def test_redaction_keeps_columns_and_rows(spark):
     )
 
 
+def _plain_redaction(text, spans):
+    out, at = "", 0
+    for kind, start, end in sorted(spans, key=lambda s: (s[1], -s[2], s[0])):
+        if start >= at:
+            out += text[at:start] + f"[{kind.upper()}]"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_redaction_is_that_of_the_spans(spark, docs):
+    """Whole texts, overlapping spans, places at and around the borders of blocks."""
+    rng = random.Random(8)
+    more = []
+    for i in range(60):
+        words = ["x" * rng.randint(1, 300), "é😀\n", "a@b.cc", "+49 (0) 123-456.789", "1.2.3.4", "4111 1111 1111 1111", "+4111111111111111 4111111111111111"]
+        more.append((-100 - i, "".join(rng.choice(words) + rng.choice(["", " ", "\n"]) for _ in range(rng.randint(1, 30)))))
+    table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string")).where("doc_id is not null")
+    spans = {(r.doc_id, r.digest): [tuple(s) for s in [*r.base, *r.found]] for r in pii.detect(table).collect()}
+    digests = table.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest")).collect()
+    want = sorted((r.doc_id, str(r.text and _plain_redaction(r.text, spans[r.doc_id, r.digest]))) for r in digests)
+    assert sorted((r.doc_id, str(r.text)) for r in pii.redact(table).collect()) == want
+    assert sum(len(s) for s in spans.values()) > 300
+
+
+def test_a_text_of_many_emails_takes_seconds(spark):
+    n = 50_000
+    text = " ".join(f"to u{i}@x.org" for i in range(n))
+    table = spark.createDataFrame([(1, text), (2, "a" * 1_000_000), (3, "1" * 1_000_000)], "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: r for r in pii.report(table).collect()}
+    assert got[1].n_email == n and got[2].n_email == 0
+    texts = {r.doc_id: r.text for r in pii.redact(table).collect()}
+    assert texts[1] == " ".join(["to [EMAIL]"] * n) and texts[2] == "a" * 1_000_000
+    assert time.time() - start < 60
+
+
 # 4
 
 
@@ -344,6 +384,27 @@ def test_toxicity_of_hard_rows(docs, spark):
     assert hidden["lexicon"] == 0
 
 
+def test_hidden_words_are_read_once():
+    plain = re.compile(rb"[a-z\x80-\xff@$!*0-9._-]*[a-z][@$!*0-9._-]+[a-z][a-z\x80-\xff@$!*0-9._-]*")
+    rng = random.Random(9)
+    for _ in range(20_000):
+        text = bytes(rng.choice(b"ab\x80@$!*0._- ,\n") for _ in range(rng.randint(0, 25)))
+        assert toxicity.hidden_words(text) == plain.findall(text)
+
+
+def test_toxicity_of_hard_rows_by_a_fitted_model(docs, spark):
+    """A megabyte without blanks, in several forms, and the other hard rows."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = toxicity.fit(table, spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", F.col("toxic").alias("label")))
+    assert model is not None
+    long = [(-50, "a" * 1_000_000), (-51, "a." * 500_000), (-52, "." * 1_000_000), (-53, "a1" * 500_000), (-54, "a" + "_" * 1_000_000)]
+    hard = docs.select("doc_id", "text").unionByName(spark.createDataFrame(long, "doc_id long, text string"))
+    start = time.time()
+    rows = toxicity.score(hard, model).collect()
+    assert time.time() - start < 60
+    assert len(rows) == hard.count() and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+
+
 # 8
 
 
