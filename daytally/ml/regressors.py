@@ -79,6 +79,17 @@ def score_new_days(model: PipelineModel, new_days: DataFrame, day: str = "date")
     return model.transform(new_days).select(day, "prediction")
 
 
+def save(model: PipelineModel, path: str) -> str:
+    """Write a fitted model to a path that must not exist yet, as a job's result that later jobs score with."""
+    model.write().save(path)
+    return path
+
+
+def load(spark: SparkSession, path: str) -> PipelineModel:
+    """A model that an earlier job or another session has written."""
+    return PipelineModel.read().session(spark).load(path)
+
+
 def fit_predict(name: str, days: DataFrame, day: str = "date") -> DataFrame:
     """Predictions for the same days the model is fitted on."""
     return predict(fit(name, days), days, day)
@@ -134,6 +145,23 @@ def summary(spark: SparkSession, models: dict[str, PipelineModel]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def tree_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """``(node, feature, threshold, days, mean)`` of a stored decision tree over numbers: node 1 is the root, 2i and 2i + 1 are below i.
+
+    Read from the stored form of the model; a tree has a few dozen nodes.
+    """
+    stored = {r.id: r for r in spark.read.parquet(f"{path}/data").collect()}
+    rows, todo = [], [(0, 1)] if stored else []
+    while todo:
+        number, node = todo.pop()
+        r = stored[number]
+        inner = r.leftChild >= 0
+        split = (r.split.featureIndex, float(r.split.leftCategoriesOrThreshold[0])) if inner else (None, None)
+        rows.append((node, *split, int(r.rawCount), float(r.prediction)))
+        todo += [(r.leftChild, 2 * node), (r.rightChild, 2 * node + 1)] if inner else []
+    return spark.createDataFrame(rows, "node int, feature int, threshold double, days long, mean double")
+
+
 def coefficients(spark: SparkSession, model: PipelineModel, inputs: list[str] = MEASURES) -> DataFrame:
     """``(term, value)`` of the linear model, the intercept last."""
     last = model.stages[-1]

@@ -77,9 +77,11 @@ def _needed(names) -> list[str]:
     return out
 
 
-def sql(body: str, *names: str, extra: list[tuple[str, str]] | None = None) -> str:
+def sql(body: str, *names: str, extra: list[tuple[str, str]] | None = None, stored: list[tuple[str, str]] | None = None) -> str:
+    """``stored`` expressions are worked out once, however often they are read."""
     parts = [(n, CTES[n][1]) for n in _needed(names)] + (extra or [])
-    return "with " + ",\n".join(f"{n} as ({text})" for n, text in parts) + "\n" + body
+    texts = [f"{n} as ({text})" for n, text in parts] + [f"{n} as materialized ({text})" for n, text in stored or []]
+    return "with " + ",\n".join(texts) + "\n" + body
 
 
 # Sort key and date parts of a column named ``date``.

@@ -17,7 +17,7 @@ from daytally.names import qcol
 from daytally.operators.series import MEASURES
 from daytally.queries.base_sql import RIDGE_PREDICTION, ridge, sql
 from daytally.queries.registry import query, shown
-from daytally.scratch import materialize
+from daytally.scratch import fresh_path, materialize
 from daytally.sources.generated_tables import LAST_YEAR, daily_obs, day_frame, stored_day_frame, table
 
 # Relative difference up to which two ways of computing a sum count as equal.
@@ -143,8 +143,9 @@ select cast(o.date as varchar) as date, round({RIDGE_PREDICTION}, 4) as predicti
 from obs o, ridge where o.date >= date '{LAST_YEAR + 1}-01-01'
 """, "days", extra=ridge()))
 def score_new_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days after the last incident year, which the model has not seen."""
-    model = regressors.fit(regressors.LINEAR, stored_day_frame(spark, sf_dir))
+    """Days after the last incident year, which the model has not seen, scored with the stored model."""
+    path = regressors.save(regressors.fit(regressors.LINEAR, stored_day_frame(spark, sf_dir)), fresh_path(spark, "model"))
+    model = regressors.load(spark, path)
     new_days = daily_obs(spark, sf_dir).filter(F.col("date") >= F.lit(f"{LAST_YEAR + 1}-01-01").cast("date"))
     return shown(regressors.score_new_days(model, new_days), DIGITS)
 

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -173,3 +176,27 @@ def test_predictions_beside_need_no_join(days):
         alone = regressors.predict(model, days)
         assert beside.select("date", "actual", name).exceptAll(alone).isEmpty()
         assert alone.exceptAll(beside.select("date", "actual", name)).isEmpty()
+
+
+SCORE = """
+import sys
+from pyspark.sql import SparkSession
+from daytally.ml import regressors
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+days = spark.read.parquet(sys.argv[2])
+regressors.score_new_days(regressors.load(spark, sys.argv[1]), days).write.parquet(sys.argv[3])
+"""
+
+
+def test_a_stored_model_scores_in_another_process(spark, days, tmp_path):
+    for name in (regressors.LINEAR, regressors.GBT):
+        model, base = regressors.fit(name, days), str(tmp_path / name)
+        regressors.save(model, f"{base}-model")
+        with pytest.raises(Exception, match="(?i)exist"):
+            regressors.save(model, f"{base}-model")
+        days.drop(TOTAL).write.parquet(f"{base}-days")
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        run = [sys.executable, "-c", SCORE, f"{base}-model", f"{base}-days", f"{base}-scores"]
+        subprocess.run(run, check=True, env={**os.environ, "PYTHONPATH": root}, timeout=300)
+        stored = {r.date: r.prediction for r in spark.read.parquet(f"{base}-scores").collect()}
+        assert stored == {r.date: r.prediction for r in regressors.score_new_days(model, days).collect()} and len(stored) == 300
