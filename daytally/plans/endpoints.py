@@ -28,7 +28,7 @@ from daytally.operators.series import (
     unpivot,
 )
 from daytally.operators.stats import corr_with_target, correlation_percent
-from daytally.sources.json_docs import forecast_days, history_days
+from daytally.sources.json_docs import forecast_days, history_days, next_days_by_key
 
 # The sort key has a two-digit year, so the year goes first.
 BY_DAY = ["Year", "Date"]
@@ -81,6 +81,12 @@ def forecast(docs: DataFrame, doc: str, asof: Column, days: int = 5) -> DataFram
     return rows.orderBy("day").withColumn("Date", format_long_day(F.col("day"))).drop("day")
 
 
+def forecast_by_key(docs: DataFrame, key: str, doc: str, issued: Column, today: Column, days: int = 5) -> DataFrame:
+    """The next days of every key from all its forecast documents."""
+    rows = next_days_by_key(docs, key, doc, issued, today, days)
+    return rows.withColumn("Date", format_long_day(F.col("day"))).drop("day")
+
+
 def temperature_and_total(weather: DataFrame, wide: DataFrame) -> DataFrame:
     """Mean temperature and total on one time axis."""
     return sort_by_day(overlay(weather.select(DAY, "Tavg"), wide.select(DAY, f"`{TOTAL}`"), DAY), DAY)

@@ -14,6 +14,7 @@ from daytally.queries.registry import query, shown
 from daytally.scratch import fresh_path, materialize
 from daytally.sources.generated_tables import LOCATION, TYPE, crime_totals, daily_obs, stored_cube, table
 
+
 @query("weather_data", sql(f"select {PARTS}, {ROUNDED} from obs", "obs"))
 def weather_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(endpoints.weather_data(daily_obs(spark, sf_dir)))
@@ -59,27 +60,31 @@ def past_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("forecast", """
-select strftime(day, '%m/%d/%Y') as "Date", low as "Tmin", high as "Tmax",
-       cast(cast(floor((cast(low as bigint) + cast(high as bigint)) / 2.0) as bigint) as varchar) as "Tavg"
-from (select date '2024-02-26' + cast(n_nationkey as integer) as day, cast(n_nationkey as varchar) as low,
-             cast(n_nationkey + n_regionkey + 3 as varchar) as high
-      from nation where n_nationkey < 5)
+select o_custkey, strftime(day, '%m/%d/%Y') as "Date", cast(low as varchar) as "Tmin", cast(high as varchar) as "Tmax",
+       cast(cast(floor((low + high) / 2.0) as bigint) as varchar) as "Tavg"
+from (select *, row_number() over (partition by o_custkey order by day) as n
+      from (select o_custkey, cast(o_orderdate as date) + cast(i as integer) as day, o_orderkey % 60 - 20 as low, o_orderkey % 60 - 15 + o_custkey % 7 + i as high,
+                   row_number() over (partition by o_custkey, cast(o_orderdate as date) + cast(i as integer)
+                                      order by cast(o_orderdate as date) desc, cast(o_orderkey % 60 - 20 as varchar) desc,
+                                               cast(o_orderkey % 60 - 15 + o_custkey % 7 + i as varchar) desc) as newest
+            from (select *, unnest(range(0, 10)) as i from orders))
+      where newest = 1 and day >= date '1996-01-01' + cast(o_custkey % 365 as integer))
+where n <= 5
 """)
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A forecast document with an entry per nation; the next five days, today included."""
-    nation = table(spark, sf_dir, "nation")
-    entry = F.struct(
-        F.col("n_nationkey").cast("int").alias("at"),
-        F.col("n_nationkey").cast("string").alias("low"),
-        (F.col("n_nationkey") + F.col("n_regionkey") + 3).cast("string").alias("high"),
+    """A forecast document of ten days per order; for each customer the next five days from a day of its own."""
+    orders = table(spark, sf_dir, "orders")
+    low = F.col("o_orderkey") % 60 - 20
+    entries = F.transform(
+        F.sequence(F.lit(0), F.lit(9)),
+        lambda i: F.struct(low.cast("string").alias("low"), (low + 5 + F.col("o_custkey") % 7 + i).cast("string").alias("high")),
     )
-    entries = nation.agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    nested = F.transform("e", lambda x: F.struct(x["low"].alias("low"), x["high"].alias("high"))).alias("forecast")
+    nested = entries.alias("forecast")
     for name in ("item", "channel", "results", "query"):
         nested = F.struct(nested).alias(name)
-    docs = materialize(entries.select(F.to_json(F.struct(nested)).alias("doc")), "forecast-doc")
-    return endpoints.forecast(docs, "doc", F.lit("2024-02-26").cast("date"))
-
+    docs = materialize(orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("issued"), F.to_json(F.struct(nested)).alias("doc")), "forecast-docs")
+    today = F.date_add(F.lit("1996-01-01").cast("date"), (F.col("o_custkey") % 365).cast("int"))
+    return shown(endpoints.forecast_by_key(docs, "o_custkey", "doc", F.col("issued"), today))
 
 
 @query("weather_load", sql(f"""

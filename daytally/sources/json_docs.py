@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daytally.functions.days import format_long_day
@@ -55,3 +55,35 @@ def forecast_days(docs: DataFrame, doc: str, asof: Column, days: int = 5, keep:
         F.col("_f.high").alias("Tmax"),
         midrange_int(F.col("_f.low").try_cast("int"), F.col("_f.high").try_cast("int")).cast("string").alias("Tavg"),
     )
+
+
+def next_days_by_key(docs: DataFrame, key: str, doc: str, issued: Column, today: Column, days: int = 5) -> DataFrame:
+    """The next ``days`` days of each key, ``today`` included, from any number of its forecast documents.
+
+    ``issued`` is the day of a document's first entry.  Where documents
+    overlap the one issued last counts (equal days: the larger text of the
+    entry, so that every run chooses alike).  Days without a forecast are not
+    made up: the next ones that have one are taken.  Documents that cannot be
+    read have no entries.
+
+    Each task keeps one entry per key and day before the shuffle and at most
+    ``days`` rows per key before the ranking, so a key with a large share of
+    all documents is no burden to one task.
+    """
+    if days < 1:
+        raise ValueError(f"days must be at least 1, got {days}")
+    parsed = docs.select(F.col(key), issued.alias("_issued"), today.alias("_today"), F.from_json(F.col(doc), FORECAST_SCHEMA).alias("_doc"))
+    each = parsed.select(key, "_issued", "_today", F.posexplode("_doc.query.results.channel.item.forecast").alias("_i", "_f"))
+    ahead = each.withColumn("day", F.date_add("_issued", F.col("_i"))).where(F.col("day") >= F.col("_today"))
+    entry = F.struct("_issued", F.col("_f.low").alias("low"), F.col("_f.high").alias("high"))
+    newest = ahead.groupBy(key, "day").agg(F.max(entry).alias("_e"))
+    order = Window.partitionBy(key).orderBy("day")
+    kept = newest.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= days)
+    low, high = F.col("_e.low"), F.col("_e.high")
+    return kept.select(
+        key,
+        "day",
+        low.alias("Tmin"),
+        high.alias("Tmax"),
+        midrange_int(low.try_cast("int"), high.try_cast("int")).cast("string").alias("Tavg"),
+    )
