@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from daytally.functions.text import decode_slug_text
 from daytally.operators.cleaning import cast_record_types, drop_columns, filter_year_upto, union_by_name
 from daytally.operators.daily import TOTAL
-from daytally.operators.dedupe import dedupe_keep_first
 from daytally.operators.joins import merge_right_wins
 from daytally.operators.series import (
     MEASURES,
@@ -21,6 +20,7 @@ from daytally.queries.base_sql import PARTS, ROUNDED, sql
 from daytally.queries.registry import query, shown
 from daytally.sources.generated_tables import (
     FIRST_ORDER,
+    first_incidents,
     KEYS,
     crime_totals,
     daily_obs,
@@ -64,8 +64,7 @@ from deduped
 """, "deduped"))
 def dedupe_keep_first_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One incident per key; all remaining columns break ties."""
-    first = dedupe_keep_first(incidents(spark, sf_dir), KEYS, FIRST_ORDER)
-    return shown(first.select(*KEYS, "ts", "primary_type", "location", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"))
+    return shown(first_incidents(spark, sf_dir).select(*KEYS, "ts", "primary_type", "location", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"))
 
 
 @query("filter_year_upto", sql("""

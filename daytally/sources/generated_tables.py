@@ -65,6 +65,15 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _looked_up(spark, sf_dir, _facts(spark, sf_dir))
 
 
+def first_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first incident of each key, with its type and location.
+
+    Part and supplier are columns of the line, so the lookups cannot change
+    which line is first and come after the choice: duplicates do not pass them.
+    """
+    return _looked_up(spark, sf_dir, dedupe_keep_first(_facts(spark, sf_dir), KEYS, FIRST_ORDER))
+
+
 def kept_incidents(spark: SparkSession, sf_dir: str, last_year: int = LAST_YEAR) -> DataFrame:
     """Deduplicated incidents up to ``last_year``, with what the day tables need.
 
