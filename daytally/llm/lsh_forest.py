@@ -14,6 +14,9 @@ candidates, vectors without structure a good part of the shard.  So the share
 is measured: a bounded sample of queries is answered exactly, and the least
 share is taken at which the wanted recall is reached on them.
 
+Every query meets every shard, in groups of bounded size: a task holds one
+shard and one group, however many there are.
+
 Equal vectors are one entry of the index, with as many of their ids as can be
 wanted, so that a common vector is no hot bucket.
 """
@@ -31,8 +34,8 @@ TREES = 32
 BITS = 24
 #: Entries of one shard; its arrays are what a task holds.
 SHARD = 16_384
-#: Queries answered at a time against a shard.
-QUERY_BLOCK = 512
+#: Queries that meet a shard in one task, and those answered at a time.
+QUERY_GROUP, QUERY_BLOCK = 8_192, 512
 #: Queries that are answered exactly to choose the share, at most, and the recall wanted on them.
 SAMPLE = 128
 WANTED = 0.97
@@ -102,7 +105,9 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), np.float64)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHARD, wanted: float = WANTED) -> DataFrame:
+def nearest(
+    vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHARD, wanted: float = WANTED, group: int = QUERY_GROUP
+) -> DataFrame:
     """The ``k`` rows of ``vectors`` with the largest inner product with each query, the query's own row left out.
 
     Both have ``vec_id`` and ``embedding`` (array of numbers); queries are rows
@@ -110,7 +115,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SH
     ``score`` (double, exact), nearest first, ties to the smaller id.  Rows
     whose vector is null, zero or has null or non-finite components, or whose
     id is null, take no part; rows with the same id and vector count once; with
-    fewer than ``k`` others all are returned.  All vectors must have one length.
+    fewer than ``k`` others all are returned.  Vectors have the length that
+    most of ``vectors`` have (of two such lengths the larger); those of another
+    one take no part, neither as queries.
     """
 
     def clean(df: DataFrame) -> DataFrame:
@@ -118,20 +125,30 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SH
         return df.where(valid("embedding") & F.col("vec_id").isNotNull()).distinct()
 
     same = Window.partitionBy("embedding").orderBy("vec_id")
-    few = clean(vectors).withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1)
+    lengths = clean(vectors).groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"))
+    usual = lengths.orderBy(F.desc("n"), F.desc("d")).first()
+    dimensions = usual.d if usual else 0
+    fitting = F.size("embedding") == dimensions
+    few = clean(vectors).where(fitting).withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1)
     entries = few.groupBy("embedding").agg(F.min("vec_id").alias("entry"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
     entries = materialize(entries, "entries")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    facts = entries.agg(F.count("*").alias("n"), F.max(norm).alias("lift"), F.max(F.size("embedding")).alias("d")).first()
+    facts = entries.agg(F.count("*").alias("n"), F.max(norm).alias("lift")).first()
     shards = max(1, -(-facts.n // shard))
-    dimensions, lift = (facts.d or 0), (facts.lift or 0.0)
-    asked = clean(queries).groupBy("embedding").agg(F.min("vec_id").alias("query"))
+    lift = facts.lift or 0.0
+    asked = clean(queries).where(fitting).groupBy("embedding").agg(F.min("vec_id").alias("query"))
     asked = materialize(asked, "queries")
 
-    index = entries.select(F.pmod(F.xxhash64("embedding"), F.lit(shards)).alias("shard"), "entry", "embedding")
+    def each(n: int) -> F.Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    def index(groups: int) -> DataFrame:
+        home = F.pmod(F.xxhash64("embedding"), F.lit(shards))
+        return entries.select(home.alias("shard"), each(groups).alias("group"), "entry", "embedding")
 
-    def to_shards(df: DataFrame) -> DataFrame:
-        return df.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), "query", "embedding")
+    def to_shards(df: DataFrame, groups: int) -> DataFrame:
+        own = F.pmod(F.xxhash64("query"), F.lit(groups)).alias("group")
+        return df.select(each(shards).alias("shard"), own, "query", "embedding")
 
     def search(shares: tuple[float, ...], exact: bool):
         """For a shard, the best entries of each query; with ``exact``, of all entries, and the share that finds each."""
@@ -165,7 +182,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SH
         return run
 
     def searched(df: DataFrame, shares: tuple[float, ...], exact: bool) -> DataFrame:
-        pairs = index.groupBy("shard").cogroup(to_shards(df).groupBy("shard"))
+        groups = max(1, -(-df.count() // group))
+        pairs = index(groups).groupBy("shard", "group").cogroup(to_shards(df, groups).groupBy("shard", "group"))
         return pairs.applyInPandas(search(shares, exact), "query long, entry long, score double, share double")
 
     best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
@@ -181,7 +199,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SH
     rows = found.join(entries.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("vec_id"))
     nearest_ids = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     rows = rows.withColumn("n", F.row_number().over(nearest_ids)).where(F.col("n") <= k + 1)
-    each = clean(queries).join(asked, "embedding").select(F.col("vec_id").alias("query_id"), "query")
-    joined = each.join(rows, "query").where("query_id <> vec_id")
+    named = clean(queries).join(asked, "embedding").select(F.col("vec_id").alias("query_id"), "query")
+    joined = named.join(rows, "query").where("query_id <> vec_id")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return joined.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

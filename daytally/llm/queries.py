@@ -55,7 +55,7 @@ def op7_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = documents(spark, sf_dir), crc_of_id(F.col("doc_id")) % 5 == 0
     training = labels(spark, sf_dir).where(~held_out).select("doc_id", F.col("toxic").alias("label"))
     scored = toxicity.score(docs, toxicity.fit(docs, training))
-    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")  # no id: not held out
 
 
 def op8_raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

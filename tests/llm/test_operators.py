@@ -79,14 +79,15 @@ def test_empty_tables(spark, docs):
 # 1
 
 
-def test_nearest_neighbours(spark):
+@pytest.mark.parametrize("group", [lsh_forest.QUERY_GROUP, 10])
+def test_nearest_neighbours(spark, group):
     rng = np.random.default_rng(1)
     x = rng.standard_normal((900, 16)) * rng.uniform(0.5, 2, (900, 1))
     x[100:160] = x[100]  # a common vector
     rows = [(i, [float(np.float32(v)) for v in x[i]]) for i in range(900)]
     odd = [(1000, None), (1001, [0.0] * 16), (1002, [float("nan")] * 16), (1003, [None] * 16), (1004, [float("inf")] * 16), (None, rows[0][1])]
     vectors = spark.createDataFrame(rows + odd + rows[:1], "vec_id long, embedding array<float>")
-    got = lsh_forest.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20, shard=300).collect()
+    got = lsh_forest.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20, shard=300, group=group).collect()
     a = np.array([r[1] for r in rows])
     hit = total = 0
     for q in range(0, 900, 20):
@@ -107,6 +108,13 @@ def test_fewer_candidates_than_wanted(spark):
     assert [(r.vec_id, r.score) for r in got] == [(2, 1.0), (1, 0.0)]
 
 
+def test_vectors_of_several_lengths(spark):
+    rows = [(i, [float(i), 1.0, 2.0]) for i in range(30)] + [(40 + i, [float(i)] * 2) for i in range(20)] + [(60, [])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = lsh_forest.nearest(vectors, vectors.where("vec_id in (0, 20, 40, 60)"), 3).collect()
+    assert {(r.query_id, r.vec_id) for r in got} == {(0, 1), (0, 2), (0, 3), (20, 29), (20, 28), (20, 27)}
+
+
 def test_the_last_share_is_the_whole_shard():
     x = np.random.default_rng(5).standard_normal((3000, 64))
     x /= np.linalg.norm(x, axis=1)[:, None]
