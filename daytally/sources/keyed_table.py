@@ -8,12 +8,15 @@ month, say); an update reads and writes only the parts that it touches.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.names import qcol
 from daytally.operators.dedupe import keep_last
-from daytally.scratch import materialize
+from daytally.scratch import fresh_path
 
 #: Column of the part, the name of its folder.
 PART = "_part"
@@ -100,8 +103,11 @@ def upsert_parts(spark: SparkSession, path: str, updates: DataFrame, key: str, o
     existing = read_table(spark, path)
     latest = keep_last(updates.filter(qcol(key).isNotNull()), [key], order)
     latest = latest.select([qcol(c) for c in latest.columns if c in existing.columns or c not in order])
-    latest = materialize(_in_parts(latest, part), "updates")
-    touched = [r[0] for r in latest.select(PART).distinct().collect()]
+    # stored by part, so that the names of its folders tell which parts are touched
+    stored = fresh_path(spark, "updates")
+    _dealt(_in_parts(latest, part), key).parquet(stored)
+    latest = spark.read.schema(_in_parts(latest, part).schema).parquet(stored)
+    touched = sorted({unquote(unquote(folder)) for file in latest.inputFiles() for folder in re.findall(f"/{PART}=([^/]*)/", file)})
     if not touched:
         return existing
     merged = _replaced(existing.filter(F.col(PART).isin(touched)), latest, key)

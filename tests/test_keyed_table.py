@@ -124,3 +124,13 @@ def test_lookups_read_the_row_groups_that_hold_the_key(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(key), GreaterThanOrEqual(key,123456), LessThanOrEqual(key,123460)]" in scan.toString()
     read = next(int(m.value()) for m in [scan.collectLeaves().head().metrics().get("numOutputRows").get()])
     assert read <= 2 * max(n for _, _, n in spans) < 20_000
+
+
+def test_parts_whose_names_need_care(spark, tmp_path):
+    path, part = str(tmp_path / "odd parts"), F.substring("key", 1, 4)
+    rows = [("a/b 1", 1), ("a%2F", 2), ("", 3), ("x=y:", 4), ("é{}[", 5), ("2005-01", 6), ("2005", 7)]
+    stored = spark.createDataFrame([*rows, ("zzzz", 8)], "key string, n int")
+    k.write_parts(stored, path, "key", part)
+    updates = spark.createDataFrame([(key, -n, 1) for key, n in rows], "key string, n int, seq int")
+    out = k.upsert_parts(spark, path, updates, "key", ["seq"], part)
+    assert sorted((r.key, r.n) for r in out.collect()) == sorted([*((key, -n) for key, n in rows), ("zzzz", 8)])
