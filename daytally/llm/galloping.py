@@ -35,7 +35,7 @@ from daytally.llm.words import slices
 from daytally.scratch import materialize
 
 #: Aligned words remembered per task, and the characters of the longest one.
-REMEMBERED, SHORT = 250_000, 64
+REMEMBERED, SHORT = 120_000, 64
 #: Tokens of a word from which on it is aligned by itself.
 ALONE = 64
 #: Characters of the texts, and new words, that are handed to the libraries at once.
@@ -180,7 +180,7 @@ class Aligner:
         cut = all(len(WORDS.findall(t.replace(BLANK, " "))) == 1 for t in pieces.id_of)
         self.words = WORDS.findall if cut else lambda t: [t]
         self.known: dict[str, tuple | None] = {}
-        self.kind = np.int32 if pair_bits(self.a.bytes_of, self.b_bytes) < 32 else np.int64
+        self.kind = pair_kind(self.a.bytes_of, self.b_bytes)
         self.a_sizes, self.b_sizes = (np.array([*map(len, x)], np.int64) for x in (self.a.bytes_of, self.b_bytes))
         # how an id is shown inside a group and at the end of its side of it
         self.a_shown = [f"{i}," for i in range(len(self.a.bytes_of))], [f"{i}|" for i in range(len(self.a.bytes_of))]
@@ -266,9 +266,9 @@ def runs(texts: list[str | None]) -> Iterator[list[str]]:
         yield run
 
 
-def pair_bits(a: list, b: list) -> int:
-    """Bits that the key of an id pair needs, its sign included."""
-    return (len(a) * len(b)).bit_length() + 1
+def pair_kind(a: list, b: list) -> type:
+    """The smaller integer type that holds the key of every id pair."""
+    return np.int32 if len(a) * len(b) < 2**31 else np.int64
 
 
 _MADE: dict[str, Aligner] = {}
@@ -282,8 +282,8 @@ def aligner(digest: str, *args) -> Aligner:
     return _MADE[digest]
 
 
-def _links(docs: DataFrame, a_path: str, pattern: str, b_path: str) -> tuple[DataFrame, int]:
-    """``row``, ``doc_id``, the counts and digest, and ``pairs`` (keys of linked ids) of every row; the size of B."""
+def _links(docs: DataFrame, a_path: str, pattern: str, b_path: str) -> tuple[DataFrame, int, type]:
+    """``row``, ``doc_id``, the counts and digest, and ``pairs`` (keys of linked ids) of every row; the size of B; the type of a key."""
     ranks = byte_level_ranks(a_path)
     with open(b_path, "rb") as file:
         b_model = file.read()
@@ -291,23 +291,21 @@ def _links(docs: DataFrame, a_path: str, pattern: str, b_path: str) -> tuple[Dat
     args = (ranks, sentencepiece_model(ranks), pattern, b_model, pieces)
     digest = hashlib.sha256(repr(sorted(ranks.items())).encode() + pattern.encode() + b_model).hexdigest()
     sent = docs.sparkSession.sparkContext.broadcast((digest, *args))
-    small = pair_bits([None] * (max(ranks.values(), default=-1) + 1), pieces.bytes_of) < 32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = aligner(*sent.value)
-        kind = np.int32 if small else np.int64
+        size = made.kind().itemsize
         for batch in slices(batches):
             rows = [row for run in runs(batch.column(2).to_pylist()) for row in made.texts(run)]
-            ends = np.cumsum([0, *(len(r[4]) // kind().itemsize for r in rows)], dtype=np.int64)
             columns = [batch.column(0), batch.column(1)]
             columns += [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
-            columns += [pa.array(np.diff(ends)), pa.array([r[3] for r in rows], pa.string())]
-            columns.append(pa.ListArray.from_arrays(ends.astype(np.int32), np.frombuffer(b"".join([r[4] for r in rows]), kind)))
+            columns += [pa.array([len(r[4]) // size for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.string())]
+            columns.append(pa.array([r[4] for r in rows], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = f"row long, doc_id long, {ALIGNED}, pairs array<{'int' if small else 'long'}>"
-    return materialize(rows.mapInArrow(run, schema), "links"), len(pieces.bytes_of)
+    kind = pair_kind([b""] * (max(ranks.values(), default=-1) + 1), pieces.bytes_of)
+    return materialize(rows.mapInArrow(run, f"row long, doc_id long, {ALIGNED}, pairs binary"), "links"), len(pieces.bytes_of), kind
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -317,7 +315,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return distinct, total
 
 
-def _counted(links: DataFrame) -> DataFrame:
+def _counted(links: DataFrame, kind: type) -> DataFrame:
     """``pair`` and ``n``, the number of links that hold it; each task adds up what it can hold before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,9 +323,8 @@ def _counted(links: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
 
         keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        for batch in batches:
-            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            here, n = np.unique(flat, return_counts=True)
+        for batch in slices(batches, "pairs"):
+            here, n = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), return_counts=True)
             keys, counts = _summed(np.r_[keys, here.astype(np.int64)], np.r_[counts, n])
             if len(keys) > HELD:
                 yield out()
@@ -352,16 +349,16 @@ def _head(counts: DataFrame) -> tuple[int, tuple[np.ndarray, np.ndarray, np.ndar
     return least, (pair[order], n[order], best[order].astype(np.int64))
 
 
-def _measured(links: DataFrame, head: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
+def _measured(links: DataFrame, kind: type, head: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
     """By row: sums over the links of the head's pairs, and each other pair with its number of links."""
     sent = links.sparkSession.sparkContext.broadcast(head)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = sent.value
-        for batch in batches:
-            row, lists = batch.column(0).to_numpy(), batch.column(1)
-            keys = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.cumsum(np.r_[0, lists.value_lengths().to_numpy(zero_copy_only=False)])
+        for batch in slices(batches, "pairs"):
+            row, lists = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            keys = np.frombuffer(b"".join(lists), kind).astype(np.int64)
+            ends = np.cumsum([0, *(len(x) // kind().itemsize for x in lists)])
             at = np.minimum(np.searchsorted(pair, keys), max(0, len(pair) - 1))
             known = pair[at] == keys if len(pair) else np.zeros(len(keys), bool)
             sums = [np.r_[0, np.cumsum(np.where(known, v[at], 0) if len(pair) else np.zeros(len(keys), np.int64))] for v in (best, n)]
@@ -405,12 +402,12 @@ def alignment(docs: DataFrame, a_path: str, pattern: str, b_path: str) -> DataFr
     tasks; what a text holds of the others is joined with their counts.  How
     often a B id is linked at best has one row per id of B and is sent too.
     """
-    links, size = _links(docs, a_path, pattern, b_path)
-    counts = materialize(_counted(links), "pairs").withColumn("b", F.col("pair") % size)
+    links, size, kind = _links(docs, a_path, pattern, b_path)
+    counts = materialize(_counted(links, kind), "pairs").withColumn("b", F.col("pair") % size)
     best = counts.groupBy("b").agg(F.max("n").alias("most"))
     counts = materialize(counts.join(F.broadcast(best), "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best")), "pairs")
     least, head = _head(counts)
-    parts = materialize(_measured(links, head), "measured")
+    parts = materialize(_measured(links, kind, head), "measured")
     rare = parts.where("pair is not null").join(counts.where(F.col("n") < least), "pair")
     rare = rare.select("row", F.when(F.col("best"), F.col("links")).otherwise(0).alias("n_best"), (F.col("links") * F.col("n")).alias("count_sum"))
     sums = parts.where("pair is null").select("row", "n_best", "count_sum").unionByName(rare)

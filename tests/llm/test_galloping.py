@@ -106,10 +106,10 @@ def test_empty_table_and_texts_without_tokens(spark):
 
 
 def test_a_task_that_holds_few_pairs_counts_the_same(spark, monkeypatch):
-    frame = spark.createDataFrame([([i % 7, i % 11],) for i in range(200)], "pairs array<int>")
+    frame = spark.createDataFrame([(np.array([i % 7, i % 11], np.int32).tobytes(),) for i in range(200)], "pairs binary")
     want = Counter(x for i in range(200) for x in (i % 7, i % 11))
     monkeypatch.setattr(galloping, "HELD", 2)
-    assert {r.pair: r.n for r in galloping._counted(frame).collect()} == want
+    assert {r.pair: r.n for r in galloping._counted(frame, np.int32).collect()} == want
 
 
 def _rising(rng, size, share):
