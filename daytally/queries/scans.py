@@ -118,17 +118,17 @@ union all
 select cast(day as varchar), seq, custkey, 'update' from upd
 """)
 def sink_upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A daily table stored by month, its days replaced by the last open order of each day that has one."""
+    """A daily table stored by year, its days replaced by the last open order of each day that has one."""
     orders = table(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
     stored = orders.filter("o_orderstatus <> 'O'").groupBy("day").agg(
         F.max("o_orderkey").alias("seq"), F.count(F.lit(1)).alias("rows"), F.lit("stored").alias("origin")
     )
-    path, month = fresh_path(spark, "stored"), F.date_format("day", "yyyy-MM")
-    write_parts(stored, path, "day", month)
+    path, year = fresh_path(spark, "stored"), F.year("day")
+    write_parts(stored, path, "day", year)
     updates = orders.filter("o_orderstatus = 'O'").select(
         "day", F.col("o_orderkey").alias("seq"), F.col("o_custkey").alias("rows"), F.lit("update").alias("origin")
     )
-    return shown(upsert_parts(spark, path, updates, "day", ["seq"], month).drop(PART))
+    return shown(upsert_parts(spark, path, updates, "day", ["seq"], year).drop(PART))
 
 
 @query("json_infer_rows", """
