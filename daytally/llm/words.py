@@ -23,12 +23,12 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that no cut holds much more text than ``SLICE_BYTES`` or one row."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that no cut holds much more text than ``size`` bytes or one row."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         per_row = max(1, column.nbytes // max(1, batch.num_rows))
-        step = max(1, SLICE_BYTES // per_row)
+        step = max(1, size // per_row)
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
 

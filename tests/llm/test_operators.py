@@ -370,6 +370,82 @@ def test_exchange_groups_words_of_one_kind():
     assert len({(kind[i], member[i]) for i in range(30)}) == 3
 
 
+def test_best_class_of_each_word_against_the_whole_likelihood():
+    rng = np.random.default_rng(6)
+    n, end = 40, brown.END_CLASS
+    for _ in range(5):
+        words = np.r_[-1, rng.integers(0, n, 400), -1, rng.integers(0, n, 200), -1]
+        words[1:-1][rng.random(len(words) - 2) < 0.1] = -1  # ends of texts
+        words[5:9] = 3
+        old, start = rng.integers(0, 6, n), rng.integers(0, 6, n)
+
+        def table(member):
+            c = np.where(words < 0, end, member[words])
+            return np.bincount(c[:-1] * brown.ALL_CLASSES + c[1:], minlength=brown.ALL_CLASSES**2).reshape(brown.ALL_CLASSES, -1).astype(float)
+
+        def gain(w, c):
+            member = old.copy()
+            member[w] = c
+            t = table(member)
+            return sum(f * brown._entropy(x).sum() for f, x in ((1, t), (-1, t.sum(axis=0)), (-1, t.sum(axis=1)))) + brown.NAMING * (c == start[w])
+
+        counts, c = np.zeros((n, brown.SLOTS), int), np.where(words < 0, end, old[words])
+        for i, w in enumerate(words):
+            if w >= 0:
+                counts[w, brown.OWN if words[i - 1] == w else c[i - 1]] += 1
+                if words[i + 1] != w:
+                    counts[w, brown.AFTER + c[i + 1]] += 1
+        at, slot = np.nonzero(counts)
+        new = brown.best_classes(at, slot, counts[at, slot], old, start, table(old))
+        assert (new != old).any()
+        for w in np.unique(at):
+            best = max(gain(w, c) for c in range(end))
+            assert math.isclose(gain(w, new[w]), best, abs_tol=1e-6)
+        moved = brown._moved(at * brown.SLOTS + slot, counts[at, slot], old, np.where(np.arange(n) == 3, new, old))
+        member = np.where(np.arange(n) == 3, new, old)
+        assert (table(old) + moved.reshape(table(old).shape) == table(member)).all()
+
+
+@pytest.mark.parametrize("most", [brown.HEAD, 100])
+def test_every_word_of_the_training_texts_is_clustered(spark, most):
+    """Words beyond the most frequent 1000, each seen some times, stand by turns before and after frequent words of two kinds."""
+    rng = random.Random(5)
+    rare = [f"{'xy'[i % 2]}{i:04d}" for i in range(1400)]
+    rows = []
+    for i in range(9000):
+        k = rng.randrange(2)
+        w = rare[2 * (i % 700) + k]
+        rows.append((i, f"a{k}{rng.randrange(15)} {w} b{k}{rng.randrange(15)} " + (f"{w} {w} {rng.choice(rare[k::2])} b{k}1" if i % 50 == 0 else "")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = brown.fit(docs, most)
+    class_of = model.class_of | {bytes(r.word): r.c for r in model.rare.collect()}
+    counts = Counter(w for _, t in rows for w in t.encode().split())
+    assert set(class_of) == set(counts)
+    # by surface all words with digits are in one class; their neighbours tell them apart, if the start has some of either kind
+    kinds = [Counter(class_of[w.encode()] for w in rare[k::2]) for k in (0, 1)]
+    assert most == 100 or sum(max(k[c] for k in kinds) for c in kinds[0].keys() | kinds[1].keys()) > 0.8 * len(rare)
+    # transitions and scores as plain code has them
+    table, end = np.zeros((brown.ALL_CLASSES, brown.ALL_CLASSES)), brown.END_CLASS
+    for _, t in rows:
+        c = [end, *(class_of[w] for w in t.encode().split()), end]
+        np.add.at(table, (c[:-1], c[1:]), 1)
+    share = (table.sum(axis=0) + 1) / (table.sum(axis=0) + 1).sum()
+    smooth = np.log10((table + brown.SMOOTHING * share) / (table.sum(axis=1, keepdims=True) + brown.SMOOTHING))
+    assert np.allclose(smooth, model.log_transitions)
+    sizes = Counter()
+    for w, n in counts.items():
+        sizes[class_of[w]] += n + 1
+    more = spark.createDataFrame([(-1, "new1 a01 x0000 x0002 y0001 newer1 newest"), (-2, None), (-3, "x0000"), (-3, "x0000")], docs.schema)
+    got = brown.score(docs.unionByName(more), model, F.lit(False)).collect()
+    texts = Counter()
+    for i, t in [*rows, *((r.doc_id, r.text) for r in more.collect())]:
+        found = (t or "").encode().split()
+        c = [end, *(class_of[w] if w in class_of else int(model.unseen[brown.surface(w)]) for w in found), end]
+        want = smooth[c[:-1], c[1:]].sum() + sum(math.log10((counts[w] + 1) / (sizes[k] + 1)) for w, k in zip(found, c[1:-1], strict=True))
+        texts[i, len(found) + 1, sum(counts[w] > 0 for w in found) + 1, round(want, 5)] += 1
+    assert texts == Counter((r.doc_id, r.n_tokens, r.n_known, round(r.score, 5)) for r in got)
+
+
 # 7
 
 
