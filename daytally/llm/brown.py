@@ -6,13 +6,15 @@ that of the word in its class:
     P(w | v) = P(class(w) | class(v)) * P(w | class(w))
 
 Exchange clustering moves words to the class that raises the likelihood of the
-class bigrams most.  It starts from the most frequent words alone, whose table
-of bigrams has a fixed size, with every other word in a class by its surface
-(last byte, digits, length).  Then every word of the training texts takes part:
-first the head (the most frequent words, whose classes are sent to the tasks)
-in a few sweeps, then all others in one.  In a sweep the words are dealt out
-with the classes of their neighbours, and each finds its best class against
-the class bigrams, while the others stay.
+class bigrams most.  It starts from the most frequent words alone, whose table of
+bigrams has a fixed size, with every other word in a class by its surface (last
+byte, digits, length).  Then every other word of the training texts takes part,
+by turns: first the head (the most frequent words, whose classes are sent to
+the tasks) in order of frequency, then all others by their hash.  In a turn the
+words are dealt out with the classes of their neighbours, and each finds its
+best class against the class bigrams, while the others stay; a turn's words
+make up a small share of the tokens, as words that move at once do not see each
+other.
 
 The texts are written once as numbers for that, a word outside the head as a
 64-bit hash; two such words of one hash would share their class, nothing else.
