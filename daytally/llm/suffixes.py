@@ -9,23 +9,25 @@ offset, so nothing is lost.
 
 1. Documents are packed into runs of some megabytes, which all later steps
    read.  Each run sorts its anchors and exchanges their hashes with a digest
-   of what surrounds them (all that the anchor's windows can see).  Hashes of
-   one document are done; where all occurrences look alike, all but the
-   first document's are covered.
-2. What is left stands where a repetition begins or ends.  These suffixes,
-   with the bytes before the anchor behind them, are sorted within each run,
-   front-coded (length of the prefix shared with the one before, and the
-   rest) and exchanged.
+   of what the anchor's windows see, two short hashes of what stands after
+   and before it, and its place.  Where anchors look alike, all but the first
+   document's are covered.  Windows that two anchors share make them agree
+   after or before the anchor: what agrees with nothing else that has another
+   first document is done, however often its ``GRAM`` bytes occur.
+2. What is left stands where a repetition begins or ends, once for all that
+   look alike.  These suffixes, with the bytes before the anchor behind them,
+   are sorted within each run, front-coded (length of the prefix shared with
+   the one before, and the rest) and exchanged.
 3. A loser tree merges the runs.  It keeps the length of the prefix that a
    suffix shares with the last one put out, decides by these lengths where it
    can, and compares bytes only beyond them.  The lengths of the merged order
    tell which suffixes agree in how many bytes, and so, for each offset of a
    window from its anchor, the smallest document that has it.
-4. A hash with more different surroundings than one task should merge is
-   split by its whole windows, which Spark aggregates with a partial step.
+4. A hash of which more has to be merged than one task should is split by its
+   whole windows, which Spark aggregates with a partial step.
 
-Within a run equal suffixes are one entry before anything is exchanged, so a
-passage that a third of all documents share is one entry per run.
+Within a run only the first of the documents that look alike has an entry in
+the exchange, so a passage that a third of all documents share is one per run.
 """
 
 import hashlib
@@ -47,22 +49,27 @@ GRAM = 16
 OFFSETS = LENGTH - GRAM + 1
 #: Bytes before and from an anchor that its windows can see.
 BEFORE, SEEN = OFFSETS - 1, OFFSETS - 1 + LENGTH
+#: Columns of eight bytes that hold them.
+COLUMNS = -(-SEEN // 8)
+#: The last offset of the windows that reach farther behind the anchor's gram than before it.
+HALF = OFFSETS // 2
 #: Bytes of text in a run (a longer document is a run of its own) and of a segment that is hashed at once.
-RUN_BYTES = 4 << 20
-SEGMENT = 1 << 21
-#: Different surroundings of one hash from which its windows are aggregated instead of merged.
+RUN_BYTES = 8 << 20
+SEGMENT = 1 << 16
+#: Places of one hash that have to be merged; with more, its windows are aggregated.
 CROWDED = 50_000
 
-#: What the hashes tell about an entry of a run.
-_ALONE, _COVERED, _FIRST, _MIXED, _CROWDED = range(5)
-
 _NO_ID = np.iinfo(np.int64).max
 
 
+def _planes(*arrays: np.ndarray) -> np.ndarray:
+    """Arrays of equal length as byte planes, one below the other."""
+    return np.concatenate([np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T for a in arrays])
+
+
 def _packed(*arrays: np.ndarray) -> bytes:
     """Arrays of equal length as compressed byte planes."""
-    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
-    return zstandard.compress(b"".join(planes), 3)
+    return zstandard.compress(_planes(*arrays).tobytes(), 3)
 
 
 def _unpacked(blob: bytes, *types: str) -> list[np.ndarray]:
@@ -105,72 +112,110 @@ def pack(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
+def _two(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A hash of two numbers that is good in its high bits."""
+    out = x * np.uint64(0x9E3779B97F4A7C15)
+    out ^= y
+    out *= np.uint64(0xFF51AFD7ED558CCD)
+    return out
+
+
+def _visible() -> np.ndarray:
+    """For each column of eight bytes around an anchor, by the bytes that are not seen at its outer end, what is seen."""
+    place = np.arange(8 * COLUMNS)
+    seen = np.zeros((COLUMNS, OFFSETS, 8 * COLUMNS), np.uint8)
+    for offset in range(OFFSETS):
+        seen[: COLUMNS // 2, offset] = np.where(place >= BEFORE - offset, 255, 0)  # by the largest offset
+        seen[COLUMNS // 2 :, offset] = np.where(place < SEEN - offset, 255, 0)  # by the smallest offset
+    return np.stack([np.ascontiguousarray(seen[j, :, 8 * j : 8 * j + 8]).view("<u8")[:, 0] for j in range(COLUMNS)])
+
+
+_VISIBLE = _visible()
+
+
+def _looks(loads: np.ndarray, anchor: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hash of each anchor (48 bits), digest of all that its windows see (48 bits), and hashes of what stands after and before it (24 bits).
+
+    Its windows are those at offsets ``low`` to ``high``.  All windows at
+    offsets up to ``HALF`` see the 16 bytes after the anchor, all others the
+    16 bytes before it, so two anchors that share a window agree in one of
+    them; 0 where an anchor has no such window.
+    """
+    at = [loads[anchor + 8 * j] for j in range(COLUMNS)]
+    around = {j: loads[anchor + BEFORE + j] for j in (-16, -8, 0, 8, 16, 24)}
+    hashes = fmix(fmix(around[0] + np.uint64(0x9E3779B97F4A7C15)) ^ around[8]) >> np.uint64(16)
+    digest = (high << 8 | low).astype(np.uint64)
+    for j, column in enumerate(at):
+        column &= _VISIBLE[j][high if j < COLUMNS // 2 else low]
+        digest ^= column
+        digest *= np.uint64(0x9E3779B97F4A7C15)
+        digest += np.uint64(1)
+        digest = fmix(digest)
+    right = np.where(low <= HALF, _two(around[16], around[24]) >> np.uint64(40), 0).astype(np.uint32)
+    left = np.where(high > HALF, _two(around[-16], around[-8]) >> np.uint64(40), 0).astype(np.uint32)
+    return hashes, digest >> np.uint64(16), right, left
+
+
 class Run:
     """Anchors of a run, sorted by hash, surroundings and document."""
 
     def __init__(self, ids: list, sizes: list[int], blob: bytes):
         data = zstandard.decompress(blob) if sum(sizes) else b""
-        self.text = np.frombuffer(bytes(BEFORE) + data + bytes(LENGTH + 8), np.uint8)  # position p is at p + BEFORE
+        self.data = bytes(BEFORE) + data + bytes(LENGTH + 8)  # position p is at p + BEFORE
         self.ends = np.cumsum(np.array(sizes, np.int64))
         self.ids = np.array([_NO_ID if i is None else i for i in ids], np.int64)
-        anchors, firsts, lasts, hashes = self._anchors(data)
-        owner = np.searchsorted(self.ends, anchors, side="right")
-        around = self.around(anchors)
-        digest = (anchors - lasts).astype(np.uint64) << np.uint64(8) | (anchors - firsts).astype(np.uint64)
-        wide = np.zeros((len(anchors), 88), np.uint8)
-        wide[:, :SEEN] = around
-        for column in wide.view("<u8").T:
-            digest = fmix((digest ^ column) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
-        order = np.lexsort((anchors, self.ids[owner], digest, hashes))
-        self.anchor, self.first, self.last = anchors[order], firsts[order], lasts[order]
-        self.hash, self.digest, self.doc = hashes[order], digest[order], self.ids[owner][order]
-        n = len(order)
-        new_hash = np.r_[np.ones(min(n, 1), bool), self.hash[1:] != self.hash[:-1]]
-        new_kind = new_hash | np.r_[np.ones(min(n, 1), bool), self.digest[1:] != self.digest[:-1]]
-        self.entry = np.cumsum(new_hash) - 1  # of each occurrence
-        self.kind = np.cumsum(new_kind) - 1
-        self.starts = np.flatnonzero(new_hash)
-        self.kind_first = self.doc[np.flatnonzero(new_kind)] if n else self.doc
-        self.least = np.minimum.reduceat(self.doc, self.starts) if n else self.doc
-        self.most = np.maximum.reduceat(self.doc, self.starts) if n else self.doc
-        self.kinds = np.add.reduceat(new_kind.astype(np.int64), self.starts) if n else self.entry
-
-    def _anchors(self, data: bytes):
-        """Anchors with the first and last window that each represents, and their hashes (48 bits)."""
-        found = [[np.empty(0, np.int64)] * 3 + [np.empty(0, np.uint64)]]
-        for at in range(0, max(0, len(data) - LENGTH + 1), SEGMENT):
-            here = data[at : at + SEGMENT + LENGTH - 1] + bytes(16)
-            n = len(here) - 16
-            loads = np.empty(n + 8, np.uint64)
-            for s in range(8):
-                part = np.frombuffer(here, "<u8", (len(here) - s) // 8, s)
-                loads[s::8] = part[: len(loads[s::8])]
-            grams = n - GRAM + 1
-            with np.errstate(over="ignore"):
-                hashed = fmix(fmix(loads[:grams] + np.uint64(0x9E3779B97F4A7C15)) ^ loads[8 : 8 + grams])
-            least = hashed >> np.uint64(22) << np.uint64(22) | np.arange(grams, dtype=np.uint64)
+        found = self._anchors(len(data))
+        anchor, low, _, hashes, digest = found[:5]
+        doc = self.ids[np.searchsorted(self.ends, anchor - low, side="right")]
+        order = np.argsort(hashes, kind="stable")
+        same = hashes[order][1:] == hashes[order][:-1]
+        tied = np.flatnonzero(np.r_[False, same] | np.r_[same, False][: len(order)])
+        few = order[tied]
+        order[tied] = few[np.lexsort((doc[few], digest[few], hashes[few]))]
+        self.doc = doc[order]
+        self.anchor, self.low, self.high, self.hash, self.digest, self.right, self.left = (a[order] for a in found)
+        new = np.r_[np.ones(min(len(order), 1), bool), (self.hash[1:] != self.hash[:-1]) | (self.digest[1:] != self.digest[:-1])]
+        starts = np.flatnonzero(new)
+        #: Whether a smaller document of the run has the same surroundings.
+        self.later = self.doc > self.doc[starts][np.cumsum(new) - 1] if len(order) else new
+
+    def _anchors(self, n: int) -> list[np.ndarray]:
+        """Anchors, the least and largest offset of the windows that each represents, and their looks."""
+        types = (np.int64, np.uint8, np.uint8, np.uint64, np.uint64, np.uint32, np.uint32)
+        found = [[np.empty(0, t) for t in types]]
+        inside = np.ones(n, bool)  # not for windows that reach over the end of a document
+        for end in np.unique(self.ends).tolist():
+            inside[max(0, end - LENGTH + 1) : end] = False
+        step = min(SEGMENT, (1 << 16) - OFFSETS + 1)  # places have 16 bits
+        for at in range(0, max(0, n - LENGTH + 1), step):
+            windows = min(step, n - LENGTH + 1 - at)
+            grams = windows + OFFSETS - 1
+            # eight bytes from each place on; the segment's position p is at p + BEFORE
+            loads = np.ndarray((grams + 8 * (COLUMNS - 1),), "<u8", self.data, at, (1,)).copy()
+            mixed = _two(loads[BEFORE : BEFORE + grams], loads[BEFORE + 8 : BEFORE + 8 + grams])
+            mixed >>= np.uint64(32)
+            least = mixed.astype(np.uint32) & np.uint32(0xFFFF0000) | np.arange(grams, dtype=np.uint32)
             width = 1
             while width * 2 <= OFFSETS:
                 least = np.minimum(least[:-width], least[width:])
                 width *= 2
             if width < OFFSETS:
                 least = np.minimum(least[: len(least) - (OFFSETS - width)], least[OFFSETS - width :])
-            place = (least & np.uint64((1 << 22) - 1)).astype(np.int64)
-            starts = np.arange(len(place), dtype=np.int64) + at
-            left = np.searchsorted(self.ends, starts, side="right")
-            inside = starts + LENGTH <= self.ends[np.minimum(left, len(self.ends) - 1)]
-            starts, place = starts[inside], place[inside]
+            starts = np.flatnonzero(inside[at : at + windows])
             if len(starts):
-                # anchors are the smallest hashes, so these are mixed again to be dealt out evenly;
+                place = (least & np.uint32(0xFFFF)).astype(np.int64)[starts]
                 # a new anchor, or the same place seen from another document, begins a new group of windows
                 change = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)])
-                found.append([place[change] + at, starts[change], starts[np.r_[change[1:] - 1, len(starts) - 1]], fmix(hashed[place[change]]) >> np.uint64(16)])
+                anchor = place[change]
+                low, high = anchor - starts[np.r_[change[1:] - 1, len(starts) - 1]], anchor - starts[change]
+                found.append([anchor + at, low.astype(np.uint8), high.astype(np.uint8), *_looks(loads, anchor, low, high)])
         return [np.concatenate(x) for x in zip(*found, strict=True)]
 
-    def around(self, anchors: np.ndarray) -> np.ndarray:
-        """What windows see: the bytes from the anchor on, then those before it, backwards."""
-        seen = np.lib.stride_tricks.sliding_window_view(self.text, SEEN)[anchors]
-        return np.concatenate([seen[:, BEFORE:], seen[:, :BEFORE][:, ::-1]], axis=1)
+
+def around(text: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """What windows can see: the bytes from the anchor on, then those before it, backwards."""
+    seen = np.lib.stride_tricks.sliding_window_view(text, SEEN)[anchors]
+    return np.concatenate([seen[:, BEFORE:], seen[:, :BEFORE][:, ::-1]], axis=1)
 
 
 def _ranges(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -196,60 +241,122 @@ def _by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int,
         yield held[0][key], held
 
 
-_ENTRY = ("<u8", "<u8", "<i8", "u1", "<u4")
+_ENTRY = ("<u8", "<u8", "<i8", "<u4", "u1", "u1", "<u4", "<u4")
+_PLACED = ("<i8", "<u4", "u1", "u1")
+#: What a row holds: entries; covered windows; places whose suffixes are merged; places whose windows are aggregated.
+_ENTRIES, _COVER, _MERGE, _CROWD = range(4)
+_FOUND = pa.schema([("range", pa.int64()), ("run", pa.int64()), ("what", pa.int32()), ("blob", pa.binary())])
+_FOUND_SQL = "range long, run long, what int, blob binary"
+
+
+def _as_rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def _hash_rows(ranges: int):
+    """The entries of each run by range, and the windows that a smaller document of the same run covers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _runs_of(batch):
-                here = Run(row["ids"], row["sizes"], row["blob"])
-                hashes = here.hash[here.starts]
-                step = np.r_[hashes[:1], np.diff(hashes)] if len(hashes) else hashes
-                bounds = np.searchsorted(_ranges(hashes, ranges), np.arange(ranges + 1))
-                out = []
-                for r in np.flatnonzero(np.diff(bounds)):
-                    cut = slice(bounds[r], bounds[r + 1])
-                    delta = step[cut].copy()
-                    delta[0] = hashes[cut][0]
-                    digest = here.digest[here.starts][cut] >> np.uint64(16)
-                    many = (here.most[cut] > here.least[cut]).astype(np.uint8)
-                    blob = _packed(delta, digest, here.least[cut], many, here.kinds[cut].astype("<u4"))
-                    out.append((int(r), row["run"], blob))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)] if out else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.binary())], names=["range", "run", "blob"])
+                yield of(row)
+
+    def of(row: dict) -> pa.RecordBatch:
+        here = Run(row["ids"], row["sizes"], row["blob"])
+        later, use = np.flatnonzero(here.later), np.flatnonzero(~here.later)
+        hashes = here.hash[use]
+        bounds = np.searchsorted(_ranges(hashes, ranges), np.arange(ranges + 1))
+        step = np.r_[hashes[:1], np.diff(hashes)]
+        begun = bounds[:-1][np.diff(bounds) > 0]
+        step[begun] = hashes[begun]
+        columns = (here.digest, here.doc, here.anchor.astype("<u4"), here.low, here.high, here.right, here.left)
+        planes = _planes(step, *(c[use] for c in columns))
+        out = [(int(r), row["run"], _ENTRIES, zstandard.compress(planes[:, bounds[r] : bounds[r + 1]].tobytes(), 1)) for r in np.flatnonzero(np.diff(bounds))]
+        if len(later):
+            later = later[np.argsort(here.anchor[later])]
+            anchor = here.anchor[later]
+            out.append((row["run"] % ranges, row["run"], _COVER, _packed(anchor - here.high[later], anchor - here.low[later])))
+        return _as_rows(out, _FOUND)
 
     return run
 
 
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal keys together, and where each begins in it."""
+    order = np.argsort(keys, kind="stable")  # quick, as runs come sorted
+    return order, np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
+
+
+def _spread(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the values of a key are not all the same, for each of its places."""
+    out = np.zeros(len(keys), bool)
+    if len(keys):
+        order, starts = _groups(keys)
+        differ = np.minimum.reduceat(values[order], starts) < np.maximum.reduceat(values[order], starts)
+        out[order] = np.repeat(differ, np.diff(np.r_[starts, len(keys)]))
+    return out
+
+
+def _settled(hashes: np.ndarray, digest: np.ndarray, doc: np.ndarray, low: np.ndarray, high: np.ndarray, right: np.ndarray, left: np.ndarray, crowded: int) -> np.ndarray:
+    """What becomes of each entry: covered, merged, aggregated, or nothing (-1).
+
+    What looks alike is covered but for its smallest document.  That one is
+    merged if something of the same hash that looks otherwise, and has
+    another smallest document, agrees with it after or before the anchor.
+    """
+    out = np.full(len(hashes), -1, np.int8)
+    several = np.flatnonzero(_spread(doc, hashes))
+    if not len(several):
+        return out
+    hashes, digest, doc, low, high, right, left = (a[several] for a in (hashes, digest, doc, low, high, right, left))
+    order, starts = _groups(hashes)
+    group = np.empty(len(order), np.uint64)
+    group[order] = np.repeat(np.arange(len(starts), dtype=np.uint64), np.diff(np.r_[starts, len(order)]))
+    bits = min(48, 64 - len(starts).bit_length())  # of the digest, that fit beside the group
+    order = np.argsort(group << np.uint64(bits) | digest >> np.uint64(48 - bits), kind="stable")
+    new = np.r_[True, (group[order][1:] != group[order][:-1]) | (digest[order][1:] != digest[order][:-1])]
+    starts = np.flatnonzero(new)
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    one = order[starts]  # of each kind
+    least = np.minimum.reduceat(doc[order], starts)
+    merge = np.zeros(len(one), bool)
+    for part, use in ((right, low <= HALF), (left, high > HALF)):
+        some = np.flatnonzero(use[one])
+        merge[some] |= _spread(least[some], group[one][some] << np.uint64(24) | part[one][some])
+    first, group = doc == least[kind], group.astype(np.int64)
+    much = np.bincount(group, merge[kind] & first) > crowded
+    state = np.where(merge[kind], np.where(much[group], _CROWD, _MERGE), -1)
+    out[several] = np.where(first, state, _COVER)
+    return out
+
+
 def _classes(crowded: int):
-    """What each run's entries are, from all runs' hashes of a range."""
+    """What becomes of each run's entries, from all runs' hashes of a range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, rows in _by_key(batches, "range"):
-            parts = [_unpacked(r["blob"], *_ENTRY) for r in rows]
-            hashes = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-            digest, least, many, kinds = (np.concatenate([p[i] for p in parts]) for i in range(1, 5))
-            order = np.argsort(hashes, kind="stable")
-            new = np.r_[True, hashes[order][1:] != hashes[order][:-1]]
-            starts = np.flatnonzero(new)
-            group = np.empty(len(order), np.int64)
-            group[order] = np.cumsum(new) - 1
-            first = np.minimum.reduceat(least[order], starts)[group]
-            last = np.maximum.reduceat(least[order], starts)[group]
-            alike = (np.minimum.reduceat(digest[order], starts) == np.maximum.reduceat(digest[order], starts))[group]
-            alike &= (np.maximum.reduceat(kinds[order], starts) == 1)[group]
-            total = np.add.reduceat(kinds[order].astype(np.int64), starts)[group]
-            several = (first < last) | (np.maximum.reduceat(many[order], starts) > 0)[group]
-            mixed = np.where(total > crowded, _CROWDED, _MIXED)
-            found = np.where(~several, _ALONE, np.where(~alike, mixed, np.where(first < least, _COVERED, _FIRST))).astype(np.uint8)
-            at, out = 0, []
-            for r, p in zip(rows, parts, strict=True):
-                mine = found[at : at + len(p[0])]
-                at += len(p[0])
-                if mine.any():
-                    out.append((r["run"], key, zstandard.compress(mine.tobytes(), 3)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["run", "range", "blob"])
+            out = [(key, r["run"], _COVER, r["blob"]) for r in rows if r["what"] == _COVER]
+            rows = [r for r in rows if r["what"] == _ENTRIES]
+            if rows:
+                out += ((key, rows[k]["run"], what, blob) for k, what, blob in places([r["blob"] for r in rows]))
+            yield _as_rows(out, _FOUND)
+
+    def places(blobs: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+        parts = [_unpacked(blob, *_ENTRY) for blob in blobs]
+        run = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+        hashes = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+        digest, doc, anchor, low, high, right, left = (np.concatenate([p[k] for p in parts]) for k in range(1, len(_ENTRY)))
+        del parts
+        found = _settled(hashes, digest, doc, low, high, right, left, crowded)
+        use = np.flatnonzero(found >= 0)
+        use = use[np.lexsort((anchor[use], found[use], run[use]))]
+        new = np.flatnonzero(np.r_[np.ones(min(len(use), 1), bool), (run[use][1:] != run[use][:-1]) | (found[use][1:] != found[use][:-1])])
+        for one in np.split(use, new[1:]) if len(use) else []:
+            what, place = int(found[one[0]]), anchor[one].astype(np.int64)
+            columns = (place - high[one], place - low[one]) if what == _COVER else (doc[one], anchor[one], low[one], high[one])
+            yield int(run[one[0]]), what, _packed(*columns)
 
     return run
 
@@ -373,64 +480,41 @@ def covered_offsets(rows: np.ndarray, shared: np.ndarray, doc: np.ndarray, low:
 
 
 _ITEM = ("<i8", "<i8", "u1", "u1", "u1")
-_COVER, _ITEMS, _WINDOW = 0, 1, 2
 _SECOND = pa.schema([("what", pa.int32()), ("range", pa.int64()), ("run", pa.int64()), ("blob", pa.binary()), ("rest", pa.binary()), ("doc", pa.int64())])
 _SECOND_SQL = "what int, range long, run long, blob binary, rest binary, doc long"
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(_SECOND)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SECOND, strict=True)], schema=_SECOND)
-
-
-def _second(ranges: int):
-    """From runs and classes: covered windows, and the suffixes that have to be merged."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in _runs_of(batch):
-                yield from of(row)
-
-    def of(row: dict) -> Iterator[pa.RecordBatch]:
-        here = Run(row["ids"], row["sizes"], row["blob"])
-        hashes = here.hash[here.starts]
-        dealt = _ranges(hashes, ranges)
-        found = np.zeros(len(hashes), np.uint8)
-        for c in row["classes"]:
-            a, b = np.searchsorted(dealt, [c["range"], c["range"] + 1])
-            found[a:b] = np.frombuffer(zstandard.decompress(c["blob"]), np.uint8)
-        state = found[here.entry] if len(here.entry) else np.empty(0, np.uint8)
-        later = here.doc > here.kind_first[here.kind] if len(here.doc) else np.empty(0, bool)
-        cover = (state == _COVERED) | (state >= _FIRST) & later
-        out = [(_COVER, 0, row["run"], _packed(here.first[cover], here.last[cover]), None, None)]
-        merged = np.flatnonzero((state == _MIXED) & ~later)
-        if len(merged):
-            rows = here.around(here.anchor[merged])
-            order = sorted_rows(rows)
-            merged, rows = merged[order], rows[order]
-            to = dealt[here.entry[merged]]
-            for r in np.unique(to):
-                use = to == r
-                one = merged[use]
-                shared, rest = front_code(rows[use])
-                low, high = here.anchor[one] - here.last[one], here.anchor[one] - here.first[one]
-                blob = _packed(here.doc[one], here.anchor[one], low.astype(np.uint8), high.astype(np.uint8), shared)
-                out.append((_ITEMS, int(r), row["run"], blob, zstandard.compress(rest, 3), None))
-        yield _rows(out)
-        crowd = np.flatnonzero((state == _CROWDED) & ~later)
-        for start in range(0, len(crowd), 4096):
+def _second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From runs and places, the suffixes that have to be merged and the windows that have to be aggregated."""
+    for batch in batches:
+        for row in _runs_of(batch):
+            text = np.frombuffer(bytes(BEFORE) + zstandard.decompress(row["blob"]) + bytes(LENGTH), np.uint8)
             out = []
-            for i in crowd[start : start + 4096]:
-                for p in range(here.first[i], here.last[i] + 1):
-                    out.append((_WINDOW, p, row["run"], here.text[p + BEFORE : p + BEFORE + LENGTH].tobytes(), None, here.doc[i]))
-            yield _rows(out)
-
-    return run
+            for place in row["places"]:
+                if place["what"] != _MERGE:
+                    continue
+                doc, anchor, low, high = _unpacked(place["blob"], *_PLACED)
+                rows = around(text, anchor)
+                order = sorted_rows(rows)
+                shared, rest = front_code(rows[order])
+                blob = _packed(doc[order], anchor[order].astype("<i8"), low[order], high[order], shared)
+                out.append((_MERGE, place["range"], row["run"], blob, zstandard.compress(rest, 3), None))
+            yield _as_rows(out, _SECOND)
+            for place in row["places"]:
+                if place["what"] != _CROWD:
+                    continue
+                doc, anchor, low, high = (a.tolist() for a in _unpacked(place["blob"], *_PLACED))
+                for start in range(0, len(doc), 4096):
+                    out = []
+                    for d, a, l, h in zip(*(x[start : start + 4096] for x in (doc, anchor, low, high)), strict=True):
+                        for p in range(a - h, a - l + 1):
+                            out.append((_CROWD, p, row["run"], text[p + BEFORE : p + BEFORE + LENGTH].tobytes(), None, d))
+                    yield _as_rows(out, _SECOND)
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge the front-coded runs of a range; give the windows that smaller documents have."""
-    for _, rows in _by_key(batches, "range"):
+    for key, rows in _by_key(batches, "range"):
         parts = [_unpacked(r["blob"], *_ITEM) for r in rows]
         strings = [front_decode(p[4], zstandard.decompress(r["rest"]), SEEN) for p, r in zip(parts, rows, strict=True)]
         merged = np.array(list(LoserTree(strings, [p[4].tolist() for p in parts], SEEN)), np.int64).reshape(-1, 3)
@@ -441,32 +525,38 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = covered_offsets(flat, merged[:, 2], doc, low, high)
         hit, offset = np.nonzero(bits[:, None] >> np.arange(OFFSETS, dtype=np.uint64)[None, :] & np.uint64(1))
         start, of = anchor[hit] - offset, merged[hit, 0]
-        for r in np.unique(of):
-            mine = np.sort(start[of == r])
-            yield _rows([(_COVER, 0, rows[r]["run"], _packed(mine, mine), None, None)])
+        order = np.lexsort((start, of))
+        bounds = np.searchsorted(of[order], np.arange(len(rows) + 1)).tolist()
+        found = ((r["run"], start[order[a:b]]) for r, a, b in zip(rows, bounds, bounds[1:], strict=False) if a < b)
+        yield _as_rows([(key, r, _COVER, _packed(mine, mine)) for r, mine in found], _FOUND)
+
+
+def _intervals(covers: list[bytes], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each span of covered bytes, none of which reaches over the end of a document, and its document."""
+    parts = [_unpacked(blob, "<i8", "<i8") for blob in covers] or [[np.empty(0, np.int64)] * 2]
+    first, last = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate(last[order]) + LENGTH
+    owner = np.searchsorted(ends, first, side="right")
+    new = np.flatnonzero(np.r_[np.ones(min(len(first), 1), bool), (first[1:] > reach[:-1]) | (owner[1:] != owner[:-1])])
+    return first[new], reach[np.r_[new[1:] - 1, len(first) - 1][: len(new)]], owner[new]
 
 
 def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in _runs_of(batch):
             sizes = np.array(row["sizes"], np.int64)
-            data = zstandard.decompress(row["blob"]) if sizes.sum() else b""
-            change = np.zeros(len(data) + 1, np.int32)
-            for blob in row["covers"] or []:
-                first, last = _unpacked(blob, "<i8", "<i8")
-                np.add.at(change, first, 1)
-                np.add.at(change, last + LENGTH, -1)
-            gone = np.cumsum(change[:-1]) > 0
-            text = np.frombuffer(data, np.uint8)
+            data = memoryview(zstandard.decompress(row["blob"]) if sizes.sum() else b"")
+            ends = np.cumsum(sizes)
+            begins, reaches, owner = _intervals(row["covers"] or [], ends)
+            bounds = np.searchsorted(owner, np.arange(len(sizes) + 1)).tolist()
+            begins, reaches = begins.tolist(), reaches.tolist()
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
             out: dict[str, list] = {n: [] for n in names}
-            end = 0
-            for doc_id, size in zip(row["ids"], sizes.tolist(), strict=True):
-                here = gone[end : end + size]
-                kept = text[end : end + size][~here].tobytes()
-                end += size
-                spans = int(here[:1].sum()) + int((here[1:] & ~here[:-1]).sum())
-                for n, v in zip(names, (doc_id, size, int(here.sum()), spans, hashlib.sha256(kept).hexdigest(), kept), strict=True):
+            for k, (doc_id, size, end) in enumerate(zip(row["ids"], sizes.tolist(), ends.tolist(), strict=True)):
+                spans = slice(bounds[k], bounds[k + 1])
+                kept = b"".join(data[a:b] for a, b in zip([end - size, *reaches[spans]], [*begins[spans], end], strict=True))
+                for n, v in zip(names, (doc_id, size, size - len(kept), spans.stop - spans.start, hashlib.sha256(kept).hexdigest(), kept), strict=True):
                     out[n].append(v)
             types = {"kept_sha256": pa.string(), "kept": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array(out[n], types.get(n, pa.int64())) for n in names], names=names)
@@ -481,17 +571,15 @@ def remove_repeats(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """
     ranges = partitions(docs)
     runs = materialize(pack(docs), "runs")
-    hashes = runs.mapInArrow(_hash_rows(ranges), "range long, run long, blob binary")
-    together = hashes.repartition(ranges, "range").sortWithinPartitions("range")
-    classes = materialize(together.mapInArrow(_classes(crowded), "run long, range long, blob binary"), "classes")
-    by_run = classes.groupBy("run").agg(F.collect_list(F.struct("range", "blob")).alias("classes"))  # a row per range
-    none = F.expr("cast(array() as array<struct<range:bigint,blob:binary>>)")
-    known = runs.join(by_run, "run", "left").withColumn("classes", F.coalesce("classes", none))
-    second = materialize(known.mapInArrow(_second(ranges), _SECOND_SQL), "suffixes")
-
-    items = second.where(F.col("what") == _ITEMS).repartition(ranges, "range").sortWithinPartitions("range")
-    merged = items.mapInArrow(_merged, _SECOND_SQL).select("run", "blob")
-    windows = second.where(F.col("what") == _WINDOW).select("run", F.col("range").alias("start"), F.col("blob").alias("window"), "doc")
+    hashes = runs.mapInArrow(_hash_rows(ranges), _FOUND_SQL)
+    together = hashes.repartitionById(ranges, F.col("range").cast("int")).sortWithinPartitions("range")
+    classes = materialize(together.mapInArrow(_classes(crowded), _FOUND_SQL), "classes")
+    places = classes.where(F.col("what") != _COVER).groupBy("run").agg(F.collect_list(F.struct("range", "what", "blob")).alias("places"))  # two a range
+    second = materialize(runs.select("run", "blob").join(places, "run").mapInArrow(_second, _SECOND_SQL), "suffixes")
+
+    items = second.where(F.col("what") == _MERGE).repartitionById(ranges, F.col("range").cast("int")).sortWithinPartitions("range")
+    merged = items.mapInArrow(_merged, _FOUND_SQL).select("run", "blob")
+    windows = second.where(F.col("what") == _CROWD).select("run", F.col("range").alias("start"), F.col("blob").alias("window"), "doc")
     least = windows.groupBy("window").agg(F.min("doc").alias("least"))
     crowd = windows.join(least, "window").where("least < doc").groupBy("run").agg(F.sort_array(F.collect_list("start")).alias("starts"))
 
@@ -500,7 +588,7 @@ def remove_repeats(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
             blobs = [_packed(*[np.array(s, np.int64)] * 2) for s in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], names=["run", "blob"])
 
-    covers = second.where(F.col("what") == _COVER).select("run", "blob").unionByName(merged).unionByName(crowd.mapInArrow(packed, "run long, blob binary"))
+    covers = classes.where(F.col("what") == _COVER).select("run", "blob").unionByName(merged).unionByName(crowd.mapInArrow(packed, "run long, blob binary"))
     by_run = covers.groupBy("run").agg(F.collect_list("blob").alias("covers"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return runs.join(by_run, "run", "left").mapInArrow(_results, schema)

@@ -10,6 +10,7 @@ import struct
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from daytally import scratch
 from daytally.llm import brown, byte_bpe, components, lsh_forest, minhash, mixing, pii, queries, ratings, simhash, suffixes, toxicity
 from daytally.llm.words import WordHashes, crc_of_id
 
@@ -294,6 +296,27 @@ def test_repeats_are_removed(spark, docs, texts, monkeypatch, run_bytes, segment
     assert sorted((str(r[0]), *r[1:]) for r in got) == _plain_removal(texts + more)
 
 
+def test_only_suffixes_that_can_share_a_window_are_merged(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(100)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage = some(60)  # its words, and so 16 bytes of it, are everywhere
+    rows = [(i, some(300)) for i in range(40)] + [(100 + i, f"{some(50)} {passage}" + " " * (i % 3)) for i in range(60)]
+    path = Path(scratch.shared_dir(spark).removeprefix("file://"))
+    before = set(path.glob("suffixes-*"))
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).drop("kept").collect()
+    assert sorted((str(r[0]), *r[1:]) for r in got) == _plain_removal(rows)
+    (made,) = set(path.glob("suffixes-*")) - before
+    blobs = [r.blob for r in spark.read.parquet(str(made)).where("rest is not null").collect()]
+    assert sum(len(suffixes._unpacked(b, *suffixes._ITEM)[0]) for b in blobs) < 400  # of about 13000 anchors
+
+
+def test_spans_of_one_document_meet_and_of_two_do_not():
+    covers = [suffixes._packed(*np.array(c)) for c in ([[110, 0], [110, 10]], [[60], [60]], [[5], [5]])]  # first and last windows
+    spans = suffixes._intervals(covers, np.array([110, 110, 220]))
+    assert [a.tolist() for a in spans] == [[0, 110], [110, 160], [0, 2]]
+
+
 def test_loser_tree_merges_and_knows_shared_prefixes():
     rng = random.Random(2)
     runs = [sorted(bytes(rng.choice(b"ab") for _ in range(12)) for _ in range(rng.randint(0, 40))) for _ in range(7)]
